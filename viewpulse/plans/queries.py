@@ -148,8 +148,13 @@ def q_inferred_sessions(spark, sf):
 # Users
 
 
+def _readable(dim: DataFrame) -> DataFrame:
+    """The open end lies beyond what some result formats hold as a timestamp."""
+    return dim.withColumn("valid_to", F.col("valid_to").cast("string"))
+
+
 def q_scd2_history(spark, sf):
-    return users(spark, sf)
+    return _readable(users(spark, sf))
 
 
 def q_scd2_incremental(spark, sf):
@@ -157,7 +162,7 @@ def q_scd2_incremental(spark, sf):
     cdc = derived.users_cdc(spark, sf)
     early = F.col("last_updated_ts") < F.lit(CDC_SINCE).cast("timestamp_ntz")
     first = scd2.scd2_apply(None, cdc.filter(early))
-    return scd2.scd2_apply(first, cdc.filter(~early))
+    return _readable(scd2.scd2_apply(first, cdc.filter(~early)))
 
 
 def q_scd2_changes(spark, sf):
