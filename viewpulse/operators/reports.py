@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from viewpulse.functions.dates import clock
 from viewpulse.functions.exact import ratio
 
-_GROUP = ["segment", F.col("user_plan_at_week_start").alias("plan")]
-
 
 def latest_week(mart: DataFrame) -> Column:
     """Newest week as a scalar subquery; on a stored mart it prunes the partitions to read."""
@@ -26,7 +24,7 @@ def _has_trend(*trends: str) -> Column:
 
 def _per_user(week: DataFrame) -> DataFrame:
     """Sums per user, so that distinct users and conditional distinct users become plain counts in the next step."""
-    return week.groupBy("week_start_date", *_GROUP, "user_id").agg(
+    return week.groupBy("week_start_date", "segment", F.col("user_plan_at_week_start").alias("plan"), "user_id").agg(
         F.sum("total_watch_time_min").alias("watch"),
         F.count("total_watch_time_min").alias("watch_n"),
         F.sum("session_count").alias("sessions"),

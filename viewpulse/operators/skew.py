@@ -43,7 +43,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = MIN_HOT_ROWS, s
     )
     limit = F.greatest(F.lit(min_rows), (F.col("n") / share).cast("bigint"))
     rows = counted.select(F.filter("top", lambda t: t["count"] > limit).alias("hot")).collect()
-    return [t["item"] for t in rows[0]["hot"]] if rows else []
+    return [t["item"] for t in rows[0]["hot"]]
 
 
 def is_hot(keys: Sequence[str], hot: Sequence[int]) -> Column:

@@ -12,31 +12,29 @@ from viewpulse.schemas import FCT_DAILY
 DAY = ["user_id", "activity_date"]
 
 
-def plays(playback: DataFrame) -> DataFrame:
-    """Events per user, date, title and platform; anonymous ones are left out.
-
-    Everything below works on this, so a user with billions of events is already folded to titles x platforms.
-    """
-    return (
-        playback.filter(F.col("user_id").isNotNull())
-        .groupBy("user_id", F.col("event_date").alias("activity_date"), "content_id", "platform")
-        .agg(F.count(F.lit(1)).alias("events"))
-    )
+def titles(playback: DataFrame) -> DataFrame:
+    """Titles per user and date, without anonymous events. Folds a user with billions of events to the titles seen."""
+    known = playback.filter(F.col("user_id").isNotNull())
+    return known.select("user_id", F.col("event_date").alias("activity_date"), "content_id").distinct()
 
 
-def primary_platform(user_plays: DataFrame) -> DataFrame:
+def primary_platform(sessions: DataFrame) -> DataFrame:
     """Platform with most events per user-day; on a tie the first in alphabetical order."""
-    per_platform = user_plays.groupBy(*DAY, "platform").agg(F.sum("events").alias("events"))
+    per_platform = (
+        sessions.filter(F.col("user_id").isNotNull())
+        .groupBy("user_id", F.col("session_date").alias("activity_date"), "platform")
+        .agg(F.sum("event_count").alias("events"))
+    )
     rank = F.struct(-F.col("events"), F.col("platform"))
     return per_platform.groupBy(*DAY).agg(F.min_by("platform", rank).alias("primary_platform"))
 
 
-def breadth(user_plays: DataFrame, content: DataFrame) -> DataFrame:
+def breadth(playback: DataFrame, content: DataFrame) -> DataFrame:
     """Distinct titles, genres and content types per user-day."""
-    titles = user_plays.select(*DAY, "content_id").distinct()
     labels = content.select("content_id", "genre", "content_type")
     return (
-        titles.join(labels, "content_id", "left")
+        titles(playback)
+        .join(labels, "content_id", "left")
         .groupBy(*DAY)
         .agg(
             F.count("content_id").alias("distinct_content_count"),
@@ -60,12 +58,11 @@ def session_totals(sessions: DataFrame) -> DataFrame:
 
 def user_day(sessions: DataFrame, playback: DataFrame, content: DataFrame) -> DataFrame:
     """Daily facts with an empty score; the three parts meet on one hash partitioning by user and date."""
-    user_plays = plays(playback)
     total = F.col("total_watch_time_sec")
     return (
         session_totals(sessions)
-        .join(breadth(user_plays, content), DAY, "left")
-        .join(primary_platform(user_plays), DAY, "left")
+        .join(breadth(playback, content), DAY, "left")
+        .join(primary_platform(sessions), DAY, "left")
         .withColumns(
             {
                 "date_key": date_key(F.col("activity_date")),

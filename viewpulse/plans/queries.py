@@ -46,7 +46,14 @@ def staged(spark: SparkSession, sf: str) -> DataFrame:
 
 def hot_groups(spark: SparkSession, sf: str, across_days: bool = False) -> list[int]:
     """Measured on the raw rows: removing copies only makes groups smaller."""
-    return skew.hot_keys(dedup.type_events(raw(spark, sf), INGEST), watch.group_keys(across_days))
+    return hot_events(spark, sf, watch.group_keys(across_days))
+
+
+def hot_events(spark: SparkSession, sf: str, keys: list[str]) -> list[int]:
+    """Hot keys of the raw events. There is at most one event per line item, so a short table needs no look."""
+    if derived.given(spark, sf, "lineitem").count() <= skew.MIN_HOT_ROWS:
+        return []
+    return skew.hot_keys(dedup.type_events(raw(spark, sf), INGEST), keys)
 
 
 def facts(spark: SparkSession, sf: str) -> DataFrame:
@@ -55,7 +62,8 @@ def facts(spark: SparkSession, sf: str) -> DataFrame:
 
 def users(spark: SparkSession, sf: str) -> DataFrame:
     cdc = derived.users_cdc(spark, sf)
-    return scd2.scd2_apply(None, cdc, skew.hot_keys(cdc, ["user_id"]))
+    short = derived.given(spark, sf, "customer").count() <= skew.MIN_HOT_ROWS
+    return scd2.scd2_apply(None, cdc, [] if short else skew.hot_keys(cdc, ["user_id"]))
 
 
 def stored_facts(spark: SparkSession, sf: str) -> DataFrame:
@@ -65,7 +73,8 @@ def stored_facts(spark: SparkSession, sf: str) -> DataFrame:
 
 def daily(spark: SparkSession, sf: str) -> DataFrame:
     playback = stored_facts(spark, sf)
-    return user_day.user_day(sessions.session_facts(playback), playback, derived.content(spark, sf))
+    sessions_ = tables.settle(sessions.session_facts(playback))
+    return user_day.user_day(sessions_, playback, derived.content(spark, sf))
 
 
 def scored_daily(spark: SparkSession, sf: str) -> DataFrame:
@@ -193,18 +202,18 @@ def q_asof_plan_week(spark, sf):
 
 def q_asof_plan_event(spark, sf):
     events = staged(spark, sf)
-    hot = skew.hot_keys(raw(spark, sf), ["user_id"])
+    hot = hot_events(spark, sf, ["user_id"])
     placed = asof.attach_at_event(events, users(spark, sf), ["current_plan", "status"], hot=hot)
     return placed.select("event_id", "user_id", "server_ts", "current_plan", "status")
 
 
 def q_watch_time_by_plan(spark, sf):
-    hot = skew.hot_keys(raw(spark, sf), ["user_id"])
+    hot = hot_events(spark, sf, ["user_id"])
     return asof.watch_time_by_plan(facts(spark, sf), users(spark, sf), hot)
 
 
 def q_device_link(spark, sf):
-    hot = skew.hot_keys(raw(spark, sf), ["device_id"])
+    hot = hot_events(spark, sf, ["device_id"])
     linked = asof.link_devices(staged(spark, sf), hot)
     return linked.select("event_id", "device_id", "user_id", "linked_user_id")
 
@@ -228,11 +237,11 @@ def q_user_day(spark, sf):
 
 
 def q_primary_platform(spark, sf):
-    return user_day.primary_platform(user_day.plays(staged(spark, sf)))
+    return user_day.primary_platform(sessions.session_facts(facts(spark, sf)))
 
 
 def q_breadth(spark, sf):
-    return user_day.breadth(user_day.plays(staged(spark, sf)), derived.content(spark, sf))
+    return user_day.breadth(staged(spark, sf), derived.content(spark, sf))
 
 
 def q_engagement_score(spark, sf):
@@ -260,7 +269,7 @@ def q_weekly_mart_dormant(spark, sf):
 
 def q_weekly_plan_platform(spark, sf):
     playback = stored_facts(spark, sf)
-    facts_by_session = sessions.session_facts(playback)
+    facts_by_session = tables.settle(sessions.session_facts(playback))
     days = tables.settle(user_day.user_day(facts_by_session, playback, derived.content(spark, sf)))
     dim = users(spark, sf)
     scores = score.backfill_scores(days, dim, FIRST_DAY, LAST_DAY).drop("plan_segment")

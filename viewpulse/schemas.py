@@ -6,6 +6,7 @@ ANSI mode raises on overflow, and one bot account must not be able to fail the w
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql.types import StructType
@@ -43,7 +44,7 @@ class Table:
 
     @property
     def columns(self) -> list[str]:
-        return self.schema.fieldNames()
+        return [c.split()[0] for c in re.split(r",\s*(?![^()]*\))", self.ddl)]
 
 
 RAW_EVENTS = Table("raw/playback_events", f"{_EVENT}, event_date date", partition="event_date")
@@ -134,7 +135,5 @@ LIVE_EVENTS = Table(
 )
 
 # The live feed carries seven of the event columns; event time needs an instant type for watermarks.
-LIVE_EVENT_SCHEMA = StructType.fromDDL(
-    """event_id string, user_id string, content_id string, event_type string, event_ts timestamp, server_ts timestamp,
-    platform string"""
-)
+LIVE_EVENT_DDL = """event_id string, user_id string, content_id string, event_type string, event_ts timestamp,
+    server_ts timestamp, platform string"""

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from viewpulse.functions.dates import clock
 from viewpulse.operators.dedup import latest_copy
-from viewpulse.schemas import LIVE_EVENT_SCHEMA, Table
+from viewpulse.schemas import LIVE_EVENT_DDL, Table
 from viewpulse.sources.tables import upsert_table
 
 # Fixed values of the live report.
@@ -23,7 +23,7 @@ RECENT_MINUTES = 5
 
 def event_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
     """JSON event files as a typed stream of seven columns."""
-    reader = spark.readStream.schema(LIVE_EVENT_SCHEMA)
+    reader = spark.readStream.schema(LIVE_EVENT_DDL)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.json(path)
@@ -31,7 +31,7 @@ def event_stream(spark: SparkSession, path: str, files_per_trigger: int | None =
 
 def parse_events(messages: DataFrame, value: str = "value") -> DataFrame:
     """The same columns out of a message payload, for a broker source (`format("kafka")`)."""
-    return messages.select(F.from_json(F.col(value).cast("string"), LIVE_EVENT_SCHEMA).alias("e")).select("e.*")
+    return messages.select(F.from_json(F.col(value).cast("string"), LIVE_EVENT_DDL).alias("e")).select("e.*")
 
 
 def zoned(df: DataFrame) -> DataFrame:
