@@ -1,0 +1,107 @@
+"""Stored tables: merges across dates, replay, retention, layout, statistics, export."""
+
+from __future__ import annotations
+
+import json
+from pathlib import Path
+
+import pytest
+
+from viewpulse.operators import dedup
+from viewpulse.schemas import ALL_TABLES, DIM_USER, FCT_SESSIONS, STG_EVENTS, RAW_EVENTS
+from viewpulse.sources import files, tables
+
+EVENT = (
+    "event_id string, user_id string, device_id string, session_id string, content_id string, event_type string, "
+    "event_ts timestamp_ntz, server_ts timestamp_ntz, position_sec int, platform string, country_code string"
+)
+
+
+@pytest.fixture
+def staged(make):
+    def build(*rows):
+        full = [(i, "u", "d", "s", "c", "heartbeat", event_ts, server_ts, 1, "ios", "PK") for i, event_ts, server_ts in rows]
+        return dedup.dedup_events(make(EVENT, full), "2024-01-20 00:00:00")
+
+    return build
+
+
+def rows(spark, root):
+    found = files.scan(spark, root, STG_EVENTS).collect()
+    return sorted((r.event_id, str(r.event_date), str(r.server_ts)[8:16]) for r in found)
+
+
+@pytest.mark.parametrize("match_days", [None, 3])
+def test_merge_moves_rows_between_dates(spark, staged, tmp_path, match_days):
+    root = str(tmp_path)
+    put = lambda *r: tables.upsert_table(staged(*r), root, STG_EVENTS, newer="server_ts", match_days=match_days)
+    put(("a", "2024-01-10 01:00:00", "2024-01-10 02:00:00"), ("b", "2024-01-11 01:00:00", "2024-01-11 02:00:00"))
+    put(("a", "2024-01-12 01:00:00", "2024-01-12 02:00:00"), ("b", "2024-01-12 01:00:00", "2024-01-10 02:00:00"))
+    want = [("a", "2024-01-12", "12 02:00"), ("b", "2024-01-11", "11 02:00")]
+    assert rows(spark, root) == want
+    # The date that lost its only row is gone, and merging again changes nothing.
+    assert not (tmp_path / STG_EVENTS.path / "event_date=2024-01-10").exists()
+    put(("a", "2024-01-12 01:00:00", "2024-01-12 02:00:00"))
+    put()
+    assert rows(spark, root) == want
+
+
+def test_merge_keeps_rows_without_a_date(spark, staged, tmp_path):
+    root = str(tmp_path)
+    tables.upsert_table(staged(("a", None, "2024-01-10 02:00:00"), ("b", "2024-01-11 01:00:00", "2024-01-11 02:00:00")), root, STG_EVENTS, newer="server_ts")
+    tables.upsert_table(staged(("c", None, "2024-01-10 02:00:00"), ("b", None, "2024-01-12 02:00:00")), root, STG_EVENTS, newer="server_ts")
+    assert [r[:2] for r in rows(spark, root)] == [("a", "None"), ("b", "None"), ("c", "None")]
+
+
+def test_no_staging_is_left(spark, staged, tmp_path):
+    stage = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(stage.iterdir())
+    for _ in range(2):
+        tables.upsert_table(staged(("a", "2024-01-10 01:00:00", "2024-01-10 02:00:00")), str(tmp_path), STG_EVENTS)
+    assert set(stage.iterdir()) == before
+
+
+def test_replay_retention_layout_and_statistics(spark, staged, tmp_path):
+    root = str(tmp_path)
+    data = staged(*[(f"e{d}{i}", f"2024-01-{d} 01:00:00", f"2024-01-{d} 02:00:00") for d in (10, 11, 12) for i in range(3)])
+    tables.overwrite(data, root, STG_EVENTS)
+    full = rows(spark, root)
+    tables.drop_days(spark, root, STG_EVENTS, "2024-01-11", "2024-01-11")
+    assert len(rows(spark, root)) == 6
+    tables.replace_days(files.within(data, STG_EVENTS, "2024-01-11", "2024-01-11"), root, STG_EVENTS)
+    assert rows(spark, root) == full
+    tables.optimize(spark, root, STG_EVENTS, "2024-01-10", "2024-01-11")
+    assert rows(spark, root) == full
+    tables.register(spark, root, STG_EVENTS, "stg")
+    tables.analyze(spark, "stg")
+    assert spark.table("stg").count() == 9
+    stats = spark.sql("DESCRIBE EXTENDED stg event_id").collect()
+    assert ("distinct_count", "9") in [(r[0], r[1]) for r in stats]
+    spark.sql("DROP TABLE stg")
+    tables.append(staged(("z", "2024-01-13 01:00:00", "2024-01-13 02:00:00")), root, STG_EVENTS)
+    tables.retain(spark, root, STG_EVENTS, "2024-01-13", 2)
+    assert {r[1] for r in rows(spark, root)} == {"2024-01-12", "2024-01-13"}
+
+
+def test_csv_export(spark, make, tmp_path):
+    tables.export_csv(make("segment string, n bigint", [("Casual", 1), ("Regular", 2)]), str(tmp_path / "report"))
+    (file,) = (tmp_path / "report").glob("*.csv")
+    assert file.read_text().splitlines() == ["segment,n", "Casual,1", "Regular,2"]
+
+
+def test_declared_columns_match_the_schemas(spark):
+    for table in ALL_TABLES:
+        assert table.columns == table.schema.fieldNames()
+        assert set(table.keys) | set(table.cluster) <= set(table.columns)
+    assert FCT_SESSIONS.partition == "session_date" and DIM_USER.partition is None
+
+
+def test_json_scan_types_and_prunes(spark, tmp_path):
+    for day in ("2024-01-10", "2024-01-11"):
+        folder = tmp_path / RAW_EVENTS.path / f"event_date={day}"
+        folder.mkdir(parents=True)
+        event = {"event_id": day, "user_id": None, "event_ts": f"{day}T10:00:00", "server_ts": f"{day}T10:00:00.250", "position_sec": 5}
+        (folder / "events.json").write_text(json.dumps(event) + "\n")
+    (row,) = files.read_events(spark, str(tmp_path), "2024-01-11", "2024-01-12").collect()
+    assert (row.event_id, str(row.server_ts), row.position_sec, str(row.event_date)) == ("2024-01-11", "2024-01-11 10:00:00.250000", 5, "2024-01-11")
+    assert files.read_events(spark, str(tmp_path)).count() == 2
