@@ -67,7 +67,7 @@ def _stage(df: DataFrame, partition: str | None = None) -> tuple[DataFrame, str]
     path = scratch(spark)
     writer = df.write.partitionBy(partition) if partition else df.write
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns), path
 
 
 def _remove(spark: SparkSession, path: str) -> None:
