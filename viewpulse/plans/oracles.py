@@ -301,6 +301,7 @@ SELECT segment, plan, count(DISTINCT user_id) AS user_count,
 SELECT user_id, plan, segment, {number("min_c")} AS total_watch_time_min, CAST(session_count AS BIGINT) AS session_count,
  days_active, {number("score_c")} AS avg_engagement_score, {number("wow_c")} AS week_over_week_change_pct, engagement_trend
 FROM newest WHERE engagement_trend = 'At Risk' ORDER BY wow_c, user_id LIMIT 100""",
+    "plan_platform_incremental": "SELECT * FROM plan_platform_growth",
     "freshness": f"""
 SELECT latest_event_ts, latest_server_ts, TIMESTAMP '{FRESH_NOW}' AS current_time_utc, delay_minutes,
  CASE WHEN delay_minutes > 60 THEN 'CRITICAL: Data is older than 60 mins' WHEN delay_minutes > 30
@@ -357,6 +358,9 @@ FROM days GROUP BY 1, 2""",
 }
 
 
+QUERIES["report_csv"] = QUERIES["segment_velocity"]
+
+
 def _needed(text: str) -> set[str]:
     direct = {n for n in STEPS if re.search(rf"\b(?:FROM|JOIN)\s+{n}\b", text)}
     return direct.union(*[_needed(STEPS[n]) for n in direct]) if direct else direct

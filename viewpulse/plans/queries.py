@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from viewpulse.functions.keys import row_hash, surrogate_key
 from viewpulse.operators import asof, dedup, dims, quality, reports, scd2, score, sessions, skew, upsert, user_day, watch, weekly
-from viewpulse.schemas import FCT_DAILY, FCT_SESSIONS, LIVE_EVENTS, PLANS, RAW_EVENTS, STG_EVENTS
+from viewpulse.schemas import FCT_DAILY, FCT_SESSIONS, LIVE_EVENTS, MART_PLAN_PLATFORM, PLANS, RAW_EVENTS, STG_EVENTS
 from viewpulse.sources import derived, files, tables
 from viewpulse.streaming import live
 
@@ -272,16 +272,31 @@ def q_weekly_mart_dormant(spark, sf):
     return mart(spark, sf, first_week=FIRST_DAY, last_week=LAST_DAY, include_dormant=True)
 
 
-def q_weekly_plan_platform(spark, sf):
+def _platform_days(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     playback = stored_facts(spark, sf)
     facts_by_session = tables.settle(sessions.session_facts(playback))
     days = tables.settle(user_day.user_day(facts_by_session, playback, derived.content(spark, sf)))
     dim = users(spark, sf)
     scores = score.backfill_scores(days, dim, FIRST_DAY, LAST_DAY).drop("plan_segment")
-    keyed = weekly.attach_user_key(
-        user_day.user_day_platform(facts_by_session).join(scores, ["user_id", "activity_date"], "left"), dim
-    )
-    return weekly.weekly_plan_platform(keyed, dim)
+    per_platform = user_day.user_day_platform(facts_by_session)
+    return weekly.attach_user_key(per_platform.join(scores, ["user_id", "activity_date"], "left"), dim), dim
+
+
+def q_weekly_plan_platform(spark, sf):
+    return weekly.weekly_plan_platform(*_platform_days(spark, sf))
+
+
+def q_plan_platform_incremental(spark, sf):
+    """A first load up to a date, then the weeks touched since merged in: the same table as in one go."""
+    root = tables.scratch(spark)
+    keyed, dim = _platform_days(spark, sf)
+    days = tables.settle(keyed)
+    start = F.lit(SECOND_LOAD).cast("date")
+    tables.overwrite(weekly.weekly_plan_platform(days.filter(F.col("activity_date") < start), dim), root, MART_PLAN_PLATFORM)
+    touched = weekly.weekly_plan_platform(weekly.affected_weeks(days, SECOND_LOAD[:10]), dim)
+    recent = touched.filter(F.col("week_start_date") >= F.trunc(start, "week"))
+    tables.upsert_table(recent, root, MART_PLAN_PLATFORM)
+    return files.scan(spark, root, MART_PLAN_PLATFORM)
 
 
 def q_exec_summary(spark, sf):
@@ -296,6 +311,14 @@ def q_at_risk_top100(spark, sf):
     return reports.at_risk_users(stored_mart(spark, sf))
 
 
+def q_report_csv(spark, sf):
+    """Segment velocity exported as CSV and read back."""
+    path = tables.scratch(spark)
+    report = reports.segment_velocity(stored_mart(spark, sf))
+    tables.export_csv(report, path)
+    return spark.read.schema(report.schema).option("header", True).csv(path)
+
+
 def q_freshness(spark, sf):
     return reports.freshness(raw(spark, sf), FRESH_NOW)
 

@@ -7,7 +7,7 @@ ANSI mode raises on overflow, and one bot account must not be able to fail the w
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql.types import StructType
 
@@ -36,7 +36,8 @@ class Table:
     ddl: str
     keys: tuple[str, ...] = ()
     partition: str | None = None
-    cluster: tuple[str, ...] = field(default=())
+    cluster: tuple[str, ...] = ()
+    format: str = "parquet"
 
     @property
     def schema(self) -> StructType:
@@ -47,7 +48,7 @@ class Table:
         return [c.split()[0] for c in re.split(r",\s*(?![^()]*\))", self.ddl)]
 
 
-RAW_EVENTS = Table("raw/playback_events", f"{_EVENT}, event_date date", partition="event_date")
+RAW_EVENTS = Table("raw/playback_events", f"{_EVENT}, event_date date", partition="event_date", format="json")
 RAW_USERS = Table("raw/users", f"{_USER}, last_updated_ts timestamp_ntz")
 RAW_CONTENT = Table("raw/content", _CONTENT)
 RAW_SESSIONS = Table("raw/app_sessions", f"{_APP_SESSION}, session_date date", partition="session_date")

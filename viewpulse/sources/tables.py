@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from viewpulse.functions.dates import DateLike, back
 from viewpulse.operators.upsert import upsert, upsert_newer
-from viewpulse.schemas import Table
+from viewpulse.schemas import ALL_TABLES, Table
 from viewpulse.sources.files import scan
 
 
@@ -189,11 +189,19 @@ def optimize(spark: SparkSession, root: str, table: Table, first: DateLike | Non
 def register(spark: SparkSession, root: str, table: Table, name: str) -> None:
     """Put a stored table into the session catalog, with its declared schema and partitions."""
     cut = f"PARTITIONED BY ({table.partition})" if table.partition else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({table.ddl}) USING parquet {cut} LOCATION '{root}/{table.path}'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({table.ddl}) USING {table.format} {cut} LOCATION '{root}/{table.path}'")
     if table.partition:
         spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
+def create_lake(spark: SparkSession, root: str, wanted: Iterable[Table] = ALL_TABLES) -> None:
+    """All stored tables under their layer as database (`curated.dim_user`, ...), so SQL can be run against them."""
+    for table in wanted:
+        layer, name = table.path.split("/")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+        register(spark, root, table, f"{layer}.{name}")
+
+
 def analyze(spark: SparkSession, name: str) -> None:
     """Column statistics for the optimizer."""
     spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
