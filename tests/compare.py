@@ -34,6 +34,11 @@ def _sorted_rows(rows, names: list[str]) -> list[tuple]:
     return sorted((tuple(_value(r[i]) for i in order) for r in rows), key=repr)
 
 
+KINDS = {
+    "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
+}
+
+
 def differences(df, con: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
     cur = con.execute(sql)
     names = [d[0] for d in cur.description]
@@ -42,11 +47,8 @@ def differences(df, con: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
         return [f"columns {sorted(df.columns)} != {sorted(names)}"]
     actual = _sorted_rows(df.collect(), df.columns)
     found = [f"rows {len(actual)} != {len(expected)}"] if len(actual) != len(expected) else []
-    kinds = [{type(v) for v in col if v is not None} for col in zip(*actual, strict=False)]
-    wanted = [{type(v) for v in col if v is not None} for col in zip(*expected, strict=False)]
-    for name, a, b in zip(sorted(names), kinds, wanted, strict=False):
-        if a and b and a != b:
-            found.append(f"type of {name}: {a} != {b}")
+    declared = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    found += [f"type of {c}: {t} != {declared[c]}" for c, t in df.dtypes if KINDS.get(t) != declared[c]]
     for a, b in zip(actual, expected, strict=False):
         if a != b:
             found.append(f"{sorted(names)}\n  {a}\n  {b}")

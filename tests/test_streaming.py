@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -80,3 +81,18 @@ def test_recent_filter_commutes_with_latest_copy(feed):
     early = live.recent_latest(feed[1], now)
     late = live.recent(dedup.latest_copy(feed[1]), now)
     assert early.exceptAll(late).isEmpty() and late.exceptAll(early).isEmpty() and early.count() > 0
+
+
+def test_sessions_in_append_mode_need_the_watermark_to_pass(spark, feed, tmp_path):
+    out = str(tmp_path / "closed")
+    closing = {"event_id": "end", "user_id": "closing", "event_ts": "2024-03-01T00:00:00Z", "server_ts": "2024-03-01T00:00:00Z"}
+    folder = tmp_path / "feed"
+    folder.mkdir()
+    for i in range(4):
+        (folder / f"part{i}.json").write_text(Path(feed[0], f"part{i}.json").read_text())
+    (folder / "part9.json").write_text(json.dumps(closing) + "\n")
+    windows = live.session_windows(live.event_stream(spark, str(folder)), "user_id", "server_ts")
+    live.append_to(windows, out, f"{out}-cp", availableNow=True).awaitTermination()
+    got = live.unzoned(spark.read.parquet(out)).select("user_id", "session_start_ts", "session_end_ts", "event_count")
+    want = sessions.gap_sessions(feed[1], ["user_id"], "server_ts").select(*got.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()

@@ -64,45 +64,59 @@ def _score(cells: DataFrame, population: dict[str, DataFrame], group: Sequence[s
 def _look_up(days: DataFrame, scored: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Scores of the combinations back on the user-days; a frequent combination is left to AQE's skew handling."""
     right = scored.select(*[F.col(c).alias(f"_c_{c}") for c in keys], "engagement_score")
-    return days.join(right, _null_safe([(c, f"_c_{c}") for c in keys]), "left").select(
-        "user_id", "activity_date", "plan_segment", "engagement_score"
-    )
+    on = _null_safe([(c, f"_c_{c}") for c in keys])
+    return days.join(right, on, "left").drop(*[f"_c_{c}" for c in keys])
 
 
-def engagement_score(daily: DataFrame, users: DataFrame, as_of: DateLike) -> DataFrame:
-    """Scores of all user-days in the 28 days ending at `as_of`."""
-    window = daily.filter(between_days(F.col("activity_date"), back(as_of, WINDOW_DAYS - 1), as_of))
-    days = with_current_plan(window.select("user_id", "activity_date", *METRICS), users)
+def _days(daily: DataFrame, users: DataFrame, first: DateLike, last: DateLike) -> DataFrame:
+    window = daily.filter(between_days(F.col("activity_date"), first, last))
+    return with_current_plan(window.drop("engagement_score"), users)
+
+
+def rescore(daily: DataFrame, users: DataFrame, as_of: DateLike) -> DataFrame:
+    """The user-days of the 28 days ending at `as_of` with new scores: the rows pass through, nothing is joined back."""
+    days = _days(daily, users, back(as_of, WINDOW_DAYS - 1), as_of)
     keys = ["plan_segment", *METRICS]
     cells = days.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     return _look_up(days, _score(cells, {m: cells for m in METRICS}, ["plan_segment"]), keys)
 
 
-def backfill_scores(daily: DataFrame, users: DataFrame, first: DateLike, last: DateLike) -> DataFrame:
-    """What nightly runs for first..last, one after the other, leave behind.
+def rescore_range(daily: DataFrame, users: DataFrame, first: DateLike, last: DateLike) -> DataFrame:
+    """User-days as nightly runs for first..last, one after the other, leave them.
 
     Each run rescored the 28 days before it, so a day keeps the score of the last run that saw it, at
     min(day + 27, last). All runs are ranked together; only the per-day value counts are repeated for the runs that see
     them, never the user-days.
     """
-    seen = daily.filter(between_days(F.col("activity_date"), back(first, WINDOW_DAYS - 1), last))
-    days = with_current_plan(seen.select("user_id", "activity_date", *METRICS), users)
+    days = _days(daily, users, back(first, WINDOW_DAYS - 1), last)
     cells = days.groupBy("activity_date", "plan_segment", *METRICS).agg(F.count(F.lit(1)).alias("n"))
 
     reach = F.least(F.date_add("activity_date", WINDOW_DAYS - 1), day(last))
     runs = F.sequence(F.greatest("activity_date", day(first)), reach, F.expr("INTERVAL 1 DAY"))
     # Counts per day and single metric are small; three narrow tables instead of repeating the combinations.
-    group = ["as_of", "plan_segment"]
     population = {
         m: cells.groupBy("activity_date", "plan_segment", m)
         .agg(F.sum("n").alias("n"))
         .withColumn("as_of", F.explode(runs))
         for m in METRICS
     }
-    final = cells.groupBy(reach.alias("as_of"), "plan_segment", *METRICS).agg(F.sum("n").alias("n"))
-    scored = _score(final, population, group)
+    final = cells.select(reach.alias("as_of"), "plan_segment", *METRICS).distinct()
     keys = ["as_of", "plan_segment", *METRICS]
-    return _look_up(days.withColumn("as_of", reach), scored, keys)
+    scored = _score(final, population, ["as_of", "plan_segment"])
+    return _look_up(days.withColumn("as_of", reach), scored, keys).drop("as_of")
+
+
+_SCORE = ["user_id", "activity_date", "plan_segment", "engagement_score"]
+
+
+def engagement_score(daily: DataFrame, users: DataFrame, as_of: DateLike) -> DataFrame:
+    """Keys and scores of the 28 days ending at `as_of`, for a merge into the daily table."""
+    return rescore(daily, users, as_of).select(*_SCORE)
+
+
+def backfill_scores(daily: DataFrame, users: DataFrame, first: DateLike, last: DateLike) -> DataFrame:
+    """Keys and scores after nightly runs for first..last."""
+    return rescore_range(daily, users, first, last).select(*_SCORE)
 
 
 def score_validation(daily: DataFrame, users: DataFrame, as_of: DateLike) -> DataFrame:

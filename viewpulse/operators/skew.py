@@ -35,8 +35,8 @@ def _hash(keys: Sequence[str]) -> Column:
 def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = MIN_HOT_ROWS, share: int = HOT_SHARE) -> list[int]:
     """Hashes of the key values holding more than max(min_rows, rows / share) rows. At most `share` values.
 
-    The sketch keeps every value above 1/12,000 of the rows, well under 1/4096; a wrongly reported value would only be
-    cut needlessly.
+    The sketch keeps every value above 1/9,000 of the rows, well under 1/4096; a wrongly reported value would only be cut
+    needlessly.
     """
     counted = df.select(_hash(keys).alias("k")).agg(
         F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(k, {share}, {SKETCH_ITEMS})").alias("top")

@@ -84,8 +84,7 @@ def daily(spark: SparkSession, sf: str) -> DataFrame:
 
 def scored_daily(spark: SparkSession, sf: str) -> DataFrame:
     days = tables.settle(daily(spark, sf))
-    scores = score.backfill_scores(days, users(spark, sf), FIRST_DAY, LAST_DAY)
-    return upsert.update_matched(days, scores, FCT_DAILY.keys, ["engagement_score"])
+    return score.rescore_range(days, users(spark, sf), FIRST_DAY, LAST_DAY).select(*FCT_DAILY.columns)
 
 
 def mart(spark: SparkSession, sf: str, **options) -> DataFrame:

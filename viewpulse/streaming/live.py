@@ -51,7 +51,9 @@ def maintain_latest(
     """Keep a table with the latest copy per event id, across batches and restarts.
 
     Each batch is deduplicated and merged with the rule "greater server_ts wins", so a batch delivered twice changes
-    nothing. `match_days` bounds how far back a batch looks for earlier copies, e.g. the late-data horizon.
+    nothing. `match_days` bounds how far back a batch looks for earlier copies, e.g. the late-data horizon. A merge
+    rewrites the dates it touches, so give it batches of minutes or more; a dashboard refreshed every few seconds reads an
+    append-only log through `recent_latest` instead.
     """
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
@@ -114,7 +116,11 @@ def approx_viewers(stream: DataFrame, horizon: str = LATE_HORIZON) -> DataFrame:
 
 
 def session_windows(stream: DataFrame, key: str, ts: str, gap: str = "30 minutes", horizon: str = LATE_HORIZON) -> DataFrame:
-    """Sessions closed by inactivity. The window's end is its last event plus the gap."""
+    """Sessions closed by inactivity.
+
+    With `append_to` each session is written once, when the watermark has passed its end, and its state is dropped. With
+    `publish` open sessions are shown too, at the price of keeping them all: for feeds of bounded length.
+    """
     return (
         stream.withWatermark(ts, horizon)
         .groupBy(key, F.session_window(ts, gap).alias("w"))
