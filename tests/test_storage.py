@@ -6,6 +6,7 @@ import json
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from viewpulse.operators import dedup
 from viewpulse.schemas import ALL_TABLES, DIM_USER, FCT_SESSIONS, STG_EVENTS, RAW_EVENTS
@@ -105,3 +106,22 @@ def test_json_scan_types_and_prunes(spark, tmp_path):
     (row,) = files.read_events(spark, str(tmp_path), "2024-01-11", "2024-01-12").collect()
     assert (row.event_id, str(row.server_ts), row.position_sec, str(row.event_date)) == ("2024-01-11", "2024-01-11 10:00:00.250000", 5, "2024-01-11")
     assert files.read_events(spark, str(tmp_path)).count() == 2
+
+
+def test_layout_splits_one_hot_user(spark, tmp_path):
+    sessions = spark.range(4000).selectExpr(
+        "concat('s', id) AS session_id", "'whale' AS user_id", "'d' AS device_id", "TIMESTAMP_NTZ'2024-01-10 00:00:00' AS session_start_ts",
+        "TIMESTAMP_NTZ'2024-01-10 00:00:00' AS session_end_ts", "'tv' AS platform", "1L AS total_watch_time_sec", "1L AS distinct_content_count",
+        "1L AS event_count", "DATE'2024-01-10' AS session_date",
+    )
+    sizes = tables.clustered(sessions, FCT_SESSIONS, 4).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 4 and max(r["count"] for r in sizes) < 2000
+
+
+def test_staging_survives_a_failure(spark, make):
+    stage = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(stage.iterdir())
+    with pytest.raises(RuntimeError), tables.settled(make("k string", [("a",)])):
+        raise RuntimeError("lost")
+    (left,) = set(stage.iterdir()) - before
+    assert spark.read.parquet(str(left)).count() == 1

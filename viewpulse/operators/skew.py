@@ -126,8 +126,9 @@ def last_known(
     same = F.col("_slot") == F.col("_c_slot")
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_c_{k}"))
-    filled = cut.join(carried, same & F.col("_hot"), "left").withColumn(into, F.coalesce(into, "_carried"))
-    return filled.select(*df.columns, into)
+    wanted = [*df.columns, into]
+    filled = cut.filter("_hot").join(carried, same, "left").withColumn(into, F.coalesce(into, "_carried"))
+    return cut.filter("NOT _hot").select(*wanted).unionByName(filled.select(*wanted))
 
 
 def spread_join(

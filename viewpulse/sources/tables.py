@@ -53,20 +53,20 @@ def settle(df: DataFrame, partition: str | None = None) -> DataFrame:
 
 
 @contextmanager
-def settled(df: DataFrame, partition: str | None = None) -> Iterator[DataFrame]:
-    """As `settle`; the staging table goes when the block ends."""
-    staged, path = _stage(df, partition)
-    try:
-        yield staged
-    finally:
-        _remove(df.sparkSession, path)
+def settled(df: DataFrame) -> Iterator[DataFrame]:
+    """As `settle`; the staging table goes when the block has succeeded. After a failure it stays for recovery."""
+    staged, path = _stage(df)
+    yield staged
+    _remove(df.sparkSession, path)
 
 
 def _stage(df: DataFrame, partition: str | None = None) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = scratch(spark)
-    writer = df.write.partitionBy(partition) if partition else df.write
-    writer.parquet(path)
+    if partition:
+        df.hint("rebalance", F.col(partition)).write.partitionBy(partition).parquet(path)
+    else:
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns), path
 
 
@@ -81,9 +81,13 @@ def by_partition(df: DataFrame, table: Table) -> DataFrame:
 
 
 def clustered(df: DataFrame, table: Table, files: int | None = None) -> DataFrame:
-    """Range layout by date and cluster columns: min/max statistics let readers skip files and row groups."""
+    """Range layout by date and cluster columns: min/max statistics let readers skip files and row groups.
+
+    The hash at the end lets a range boundary fall inside one hot user, who would otherwise be a single task and file.
+    """
     cols = [c for c in (table.partition, *table.cluster) if c]
-    ranged = df.repartitionByRange(files, *cols) if files else df.repartitionByRange(*cols)
+    ranges = [*cols, F.xxhash64(*table.keys)]
+    ranged = df.repartitionByRange(files, *ranges) if files else df.repartitionByRange(*ranges)
     return ranged.sortWithinPartitions(*cols)
 
 
@@ -158,7 +162,7 @@ def _merge_days(source: DataFrame, root: str, table: Table, newer: str | None, m
     held = F.col(part).isin([d for d in touched if d is not None])
     if None in touched:
         held = F.coalesce(held, F.lit(True))
-    with settled(_merge(target.filter(held), source, table, newer), part) as merged:
+    with settled(_merge(target.filter(held), source, table, newer)) as merged:
         replace_days(merged, root, table)
         # A date whose last row moved elsewhere is not in the result and has to go as a whole.
         _drop(spark, root, table, touched - set(_dates(merged, part)))
