@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from viewpulse.llm.shipping import in_arrow
+
 #: The base phrases and their labels.
 BASE_PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 #: Further notice phrases with label and weight of evidence.
@@ -201,4 +203,4 @@ def scan_licenses(documents: DataFrame) -> DataFrame:
     complied with on permissive terms. `score` is the strongest evidence: 1 for a parsed tag, less for phrases. Other columns
     are ignored. An empty table gives no rows.
     """
-    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(_scan, SCHEMA)
+    return in_arrow(documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), _scan, SCHEMA)

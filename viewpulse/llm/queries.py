@@ -2,20 +2,40 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewpulse.llm import licenses, line_dedup, repetition, simhash
+from viewpulse.llm import bpe, licenses, line_dedup, packing, repetition, simhash, token_files
+from viewpulse.sources.tables import scratch
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    written = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(written, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = scratch(spark)
+    token_files.write_tokens(_table(spark, sf_dir, "documents"), target, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_files.checksums(token_files.read_tokens(spark, target))
+
+
 def op7_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.measure_repetition(_table(spark, sf_dir, "documents"))
 
@@ -31,4 +51,4 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op5_license_scan, op7_repetition_rules, op9_simhash, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op3_bpe, op4_packing, op5_license_scan, op6_token_files, op7_repetition_rules, op9_simhash, op10_line_dedup)}

@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from viewpulse.llm.shipping import in_arrow
+
 #: White space between words, and characters counted as symbols.
 WORD_SPACE = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
@@ -151,7 +153,7 @@ def measure_repetition(documents: DataFrame, rules: Rules = RULES) -> DataFrame:
     """
     ddl = ", ".join([*[f"{c} long" for c in _COUNTS], "dup_ngram_chars array<long>", *[f"{c} boolean" for c in _FLAGS]])
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").alias("_text"))
-    return rows.mapInArrow(_measure(rules, [*_COUNTS, "dup_ngram_chars", *_FLAGS], ["doc_id"]), f"doc_id long, {ddl}")
+    return in_arrow(rows, _measure(rules, [*_COUNTS, "dup_ngram_chars", *_FLAGS], ["doc_id"]), f"doc_id long, {ddl}")
 
 
 def keep_by_rules(documents: DataFrame, rules: Rules = RULES) -> DataFrame:
@@ -162,4 +164,4 @@ def keep_by_rules(documents: DataFrame, rules: Rules = RULES) -> DataFrame:
             texts = batch.column("text").cast(pa.binary())
             yield batch.filter(pa.array([measure(t.as_py(), rules).kept for t in texts], pa.bool_()))
 
-    return documents.mapInArrow(run, documents.schema)
+    return in_arrow(documents, run, documents.schema)

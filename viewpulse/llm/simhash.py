@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from viewpulse.llm.shipping import in_arrow
 from viewpulse.sources.tables import settle
 
 BITS = 64
@@ -62,7 +63,7 @@ def fingerprints(documents: DataFrame, words_per_shingle: int = SHINGLE) -> Data
     """doc_id, text_hash, fp of every document."""
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), F.col("text"))
     schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("fp", pa.int64())])
-    return rows.mapInArrow(_fingerprints(words_per_shingle, ["doc_id", "text_hash"], schema), "doc_id long, text_hash long, fp long")
+    return in_arrow(rows, _fingerprints(words_per_shingle, ["doc_id", "text_hash"], schema), "doc_id long, text_hash long, fp long")
 
 
 def block_masks(max_bits: int = MAX_BITS) -> list[int]:
