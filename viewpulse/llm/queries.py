@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewpulse.llm import bpe, licenses, line_dedup, packing, repetition, simhash, token_files
+from viewpulse.llm import bpe, licenses, line_dedup, packing, repetition, simhash, token_files, toxicity
 from viewpulse.sources.tables import scratch
 
 
@@ -14,6 +14,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    labels = _table(spark, sf_dir, "labels").filter(~toxicity.held_out(F.col("doc_id")))
+    return toxicity.train(_table(spark, sf_dir, "documents"), labels)
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score_documents(_table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     written = F.array_join(F.col("ids").cast("array<string>"), " ")
@@ -51,4 +61,4 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op3_bpe, op4_packing, op5_license_scan, op6_token_files, op7_repetition_rules, op9_simhash, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op3_bpe, op4_packing, op5_license_scan, op6_token_files, op7_repetition_rules, op9_simhash, op10_line_dedup)}
