@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewpulse.llm import bpe, licenses, line_dedup, packing, repetition, simhash, token_files, toxicity
+from viewpulse.llm import ann, bpe, licenses, line_dedup, packing, repetition, simhash, token_files, toxicity
 from viewpulse.sources.tables import scratch
 
 
@@ -50,6 +50,10 @@ def op7_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.measure_repetition(_table(spark, sf_dir, "documents"))
 
 
+def op8_hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
@@ -61,4 +65,4 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_bpe, op4_packing, op5_license_scan, op6_token_files, op7_repetition_rules, op9_simhash, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op3_bpe, op4_packing, op5_license_scan, op6_token_files, op7_repetition_rules, op8_hilbert_ann, op9_simhash, op10_line_dedup)}
