@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewpulse.llm import ann, bpe, licenses, line_dedup, packing, repetition, simhash, token_files, toxicity
+from viewpulse.llm import ann, bpe, html_extract, licenses, line_dedup, packing, repetition, simhash, token_files, toxicity
 from viewpulse.sources.tables import scratch
 
 
@@ -24,6 +24,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op2_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     written = F.array_join(F.col("ids").cast("array<string>"), " ")
@@ -65,4 +69,4 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_bpe, op4_packing, op5_license_scan, op6_token_files, op7_repetition_rules, op8_hilbert_ann, op9_simhash, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_style_tree, op3_bpe, op4_packing, op5_license_scan, op6_token_files, op7_repetition_rules, op8_hilbert_ann, op9_simhash, op10_line_dedup)}
