@@ -70,6 +70,10 @@ class Node:
         named = " ".join(_CAMEL.sub(" ", self.attrs.get(a, "")) for a in ("class", "id"))
         return set(_SPLIT.split(named.lower())) - {""}
 
+    def is_comment(self) -> bool:
+        """An article that is a reader's comment has the very word as a class; "comments-open" speaks of the page."""
+        return self.tag == "article" and bool(set(self.attrs.get("class", "").lower().split()) & COMMENT_WORDS)
+
     def signature(self) -> str:
         return ".".join([self.tag, *sorted(self.attrs.get("class", "").split())])
 
@@ -143,7 +147,7 @@ def _wrappers(root: Node) -> set[int]:
     """Elements around the page's article or first heading; their class words speak of the page's layout."""
     found: set[int] = set()
     for node, _ in elements(root):
-        if node.tag in ("article", "main", "h1") and not (node.words() & COMMENT_WORDS):
+        if node.tag in ("article", "main", "h1") and not node.is_comment():
             above = node.parent
             while above is not None and id(above) not in found:
                 found.add(id(above))
@@ -166,7 +170,7 @@ def says_noise(node: Node, wrapper: bool) -> bool:
         return True
     words = node.words()
     if node.tag in ("article", "main", "body", "html"):
-        return bool(words & COMMENT_WORDS) and node.tag == "article"
+        return node.is_comment()
     if wrapper:
         return node.tag in CUT_TAGS - {"form"} and not node.tag == "aside"
     if node.tag in HEADINGS:
