@@ -6,10 +6,12 @@ import compare
 import pytest
 
 import __spark_entry__ as entry_points
+from viewpulse.plans.oracles import all_oracles
+from viewpulse.plans.queries import all_queries
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+QUERIES = all_queries()
+ORACLES = all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +21,8 @@ def duck():
 
 def test_only_the_sketch_has_no_oracle():
     assert set(QUERIES) - set(ORACLES) == {"stream_approx_viewers"}
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(ORACLES) <= set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLES) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

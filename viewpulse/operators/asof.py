@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewpulse.functions.dates import week_start
-from viewpulse.operators.skew import SLOT_SECONDS, last_known, spread_join
+from viewpulse.operators.skew import SLOT_SECONDS, last_known
 
 
 def _versions(dim: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -32,14 +32,28 @@ def attach_at_date(df: DataFrame, dim: DataFrame, date: str, columns: Sequence[s
 
 
 def attach_at_event(
-    events: DataFrame, dim: DataFrame, columns: Sequence[str], at: str = "server_ts", hot: Sequence[int] = ()
+    events: DataFrame,
+    dim: DataFrame,
+    columns: Sequence[str],
+    at: str = "server_ts",
+    hot: Sequence[int] = (),
+    slot_seconds: int = SLOT_SECONDS,
 ) -> DataFrame:
     """User attributes valid when each event happened. Anonymous events are kept with nulls.
 
-    `hot` comes from `hot_keys(events, ["user_id"])`.
+    Versions and events of a user are put into one order of time and each event takes the last version before it, so a user
+    with many of both makes no pairs. `hot` comes from `hot_keys(events, ["user_id"])`.
     """
-    joined = spread_join(events, _versions(dim, columns), "user_id", "event_id", _valid(F.col(at)), hot, key_right="_d_user")
-    return joined.drop("_from", "_to")
+    known = events.filter(F.col("user_id").isNotNull()).withColumn("_kind", F.lit(1))
+    version = F.struct(F.col("valid_to").alias("until"), *columns).alias("_version")
+    starts = dim.select("user_id", F.col("valid_from").alias(at), F.lit(0).alias("_kind"), version)
+    ordered = last_known(
+        starts.unionByName(known, allowMissingColumns=True), ["user_id"], [at, "_kind"], "_version", at, "_valid", hot, slot_seconds
+    )
+    holds = F.col("_valid.until") > F.col(at)
+    placed = ordered.filter("_kind = 1").withColumns({c: F.when(holds, F.col(f"_valid.{c}")) for c in columns})
+    wanted = [*events.columns, *columns]
+    return placed.select(*wanted).unionByName(events.filter(F.col("user_id").isNull()), allowMissingColumns=True).select(*wanted)
 
 
 def watch_time_by_plan(playback: DataFrame, dim: DataFrame, hot: Sequence[int] = ()) -> DataFrame:

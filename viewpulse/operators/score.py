@@ -136,12 +136,13 @@ def score_validation(daily: DataFrame, users: DataFrame, as_of: DateLike) -> Dat
         F.min("lo").alias("min_score"),
         F.max("hi").alias("max_score"),
         F.sum("s").alias("s"),
-        F.sum("ss").alias("ss"),
+        F.sum(F.col("ss").cast("decimal(38,0)")).alias("ss"),
         F.sum("n").alias("n"),
     )
-    n, s, ss = (F.col(c) for c in ("n", "s", "ss"))
+    # Products of sums over all rows of a plan outgrow 64 bits.
+    n, s, ss = (F.col(c).cast("decimal(38,0)") for c in ("n", "s", "ss"))
     squares = (n * ss - s * s).cast("double")
-    spread = F.when(n > 1, F.sqrt(squares / F.nullif(n * (n - 1), F.lit(0)).cast("double")))
+    spread = F.when(n > 1, F.sqrt(squares / F.nullif((n * (n - 1)).cast("double"), F.lit(0.0))))
     return per_plan.select(
         "plan_segment",
         "users",

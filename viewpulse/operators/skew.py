@@ -1,8 +1,8 @@
 """Keeping hot keys out of single tasks.
 
-`hot_keys` measures a key once with a mergeable heavy-hitter sketch: one narrow scan, no shuffle of the groups, and at most
-`share` hashes come back to the driver. Usually the answer is empty and the plain plan is used as it is. When keys are hot,
-only their rows are treated differently:
+`hot_keys` counts the rows of each key exactly, with partial counts before the shuffle, and brings back the hashes of those
+above an absolute bound: n rows have at most n / bound of them, and a group that is left whole never outgrows the bound,
+however large the table. When keys are hot, only their rows are treated differently:
 
 * `with_neighbour` (lead/lag) and `last_known` (running last value) cut a hot group into time slots. Inside a slot an
   ordinary window runs; across slots only the edge rows of each slot are compared. Results equal the uncut window.
@@ -21,8 +21,6 @@ from pyspark.sql import functions as F
 from viewpulse.functions.dates import epoch_seconds
 
 MIN_HOT_ROWS = 1_000_000
-HOT_SHARE = 4096
-SKETCH_ITEMS = 65_536
 SLOT_SECONDS = 60
 FAN_OUT = 256
 NULL_FAN_OUT = 4096
@@ -32,18 +30,10 @@ def _hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = MIN_HOT_ROWS, share: int = HOT_SHARE) -> list[int]:
-    """Hashes of the key values holding more than max(min_rows, rows / share) rows. At most `share` values.
-
-    The sketch keeps every value above 1/9,000 of the rows, well under 1/4096; a wrongly reported value would only be cut
-    needlessly.
-    """
-    counted = df.select(_hash(keys).alias("k")).agg(
-        F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(k, {share}, {SKETCH_ITEMS})").alias("top")
-    )
-    limit = F.greatest(F.lit(min_rows), (F.col("n") / share).cast("bigint"))
-    rows = counted.select(F.filter("top", lambda t: t["count"] > limit).alias("hot")).collect()
-    return [t["item"] for t in rows[0]["hot"]]
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = MIN_HOT_ROWS) -> list[int]:
+    """Hashes of the key values holding more than `min_rows` rows. Two keys of one hash would only be cut needlessly."""
+    counted = df.groupBy(_hash(keys).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    return [r["k"] for r in counted.filter(F.col("n") > min_rows).select("k").collect()]
 
 
 def is_hot(keys: Sequence[str], hot: Sequence[int]) -> Column:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from viewpulse.plans.queries import CDC_SINCE, FIRST_DAY, FRESH_NOW, INGEST, LAST_DAY, LIVE_NOW, LOOKBACK_DATE, SECOND_LOAD
+from viewpulse.plans.queries import CDC_SINCE, FRESH_NOW, INGEST, LAST_DAY, LIVE_BEFORE, LOOKBACK_DATE, SECOND_LOAD
 from viewpulse.schemas import OPEN_END, PLANS, VOD_TYPES
 from viewpulse.sources import derived
 
@@ -173,17 +173,18 @@ SELECT d.*, coalesce(u.current_plan, 'unknown') AS plan_segment FROM days d
 LEFT JOIN (SELECT user_id, current_plan FROM dim WHERE is_current) u ON d.user_id = u.user_id""",
     "window_days": f"SELECT * FROM planned WHERE activity_date BETWEEN DATE '{LAST_DAY}' - 27 AND DATE '{LAST_DAY}'",
     "window_scores": _scored("window_days", "plan_segment"),
-    "runs": f"SELECT CAST(unnest(generate_series(DATE '{FIRST_DAY}', DATE '{LAST_DAY}', INTERVAL 1 DAY)) AS DATE) AS as_of",
+    "runs": "SELECT CAST(unnest(generate_series(min(activity_date), max(activity_date), INTERVAL 1 DAY)) AS DATE) AS as_of FROM planned",
     "run_days": "SELECT r.as_of, p.* FROM planned p JOIN runs r ON p.activity_date BETWEEN r.as_of - 27 AND r.as_of",
     "run_scores": _scored("run_days", "as_of, plan_segment"),
-    "scored_days": f"SELECT * FROM run_scores WHERE as_of = least(activity_date + 27, DATE '{LAST_DAY}')",
+    "scored_days": "SELECT * FROM run_scores WHERE as_of = least(activity_date + 27, (SELECT max(activity_date) FROM planned))",
     "weekly": _weekly("scored_days"),
     "mart": _labelled("weekly"),
-    "span_weeks": f"""
-SELECT CAST(unnest(generate_series(DATE '{FIRST_DAY}' - 7, date_trunc('week', DATE '{LAST_DAY}'), INTERVAL 7 DAY)) AS DATE) AS ws""",
-    "with_absent": f"""
+    "span_weeks": """
+SELECT CAST(unnest(generate_series(CAST(date_trunc('week', min(activity_date)) AS DATE) - 7, CAST(date_trunc('week', max(activity_date)) AS DATE),
+ INTERVAL 7 DAY)) AS DATE) AS ws FROM scored_days""",
+    "with_absent": """
 SELECT user_id, activity_date, min_c, session_count, distinct_content_count, distinct_genre_count, engagement_score, active_day
-FROM scored_days WHERE activity_date BETWEEN DATE '{FIRST_DAY}' - 7 AND CAST(date_trunc('week', DATE '{LAST_DAY}') AS DATE) + 6
+FROM scored_days
 UNION ALL SELECT d.user_id, w.ws, 0, 0, 0, 0, NULL, NULL FROM dim d JOIN span_weeks w ON d.valid_from <= w.ws AND w.ws < d.valid_to""",
     "weekly_absent": _weekly("with_absent"),
     "mart_absent": _labelled("weekly_absent"),
@@ -209,8 +210,9 @@ SELECT * FROM mart WHERE week_start_date = (SELECT max(week_start_date) FROM mar
     "first_load": f"SELECT * FROM playback_events WHERE server_ts < TIMESTAMP '{SECOND_LOAD}'",
     "second_load": f"SELECT * FROM playback_events WHERE server_ts >= TIMESTAMP '{SECOND_LOAD}'",
     "live_rows": f"""
-SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY {COPIES}) AS rn FROM typed) WHERE rn = 1
- AND server_ts > TIMESTAMP '{LIVE_NOW}' - INTERVAL 5 MINUTE""",
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY {COPIES}) AS rn
+ FROM (SELECT t.* FROM typed t, (SELECT max(server_ts) AS at FROM typed WHERE server_ts < TIMESTAMP '{LIVE_BEFORE}') n
+   WHERE t.server_ts > n.at - INTERVAL 5 MINUTE AND t.server_ts <= n.at)) WHERE rn = 1""",
 }
 
 _STAGED = f"SELECT {RAW}, event_date, is_late_arrival, _ingest_ts FROM staged"
@@ -276,7 +278,7 @@ SELECT plan_segment, count(DISTINCT user_id) AS users, min(engagement_score) AS
  round(stddev_samp(engagement_score), 2) AS stddev_score
 FROM scored_days WHERE activity_date >= DATE '{LAST_DAY}' - 7 GROUP BY 1""",
     "weekly_mart": _mart_rows("mart"),
-    "weekly_mart_dormant": f"{_mart_rows('mart_absent')} WHERE week_start_date >= DATE '{FIRST_DAY}'",
+    "weekly_mart_dormant": f"{_mart_rows('mart_absent')} WHERE week_start_date >= (SELECT min(ws) + 7 FROM span_weeks)",
     "weekly_plan_platform": "SELECT * FROM plan_platform_growth",
     "exec_summary": f"""
 SELECT c.*, p.prev AS prev_avg_engagement_score, round(c.avg_engagement_score - p.prev, 1) AS engagement_score_delta FROM (
@@ -359,6 +361,8 @@ FROM days GROUP BY 1, 2""",
 
 
 QUERIES["report_csv"] = QUERIES["segment_velocity"]
+for _plan in ("watch_time", "scd2_history", "asof_plan_event", "device_link"):
+    QUERIES[f"{_plan}_hot"] = QUERIES[_plan]
 
 
 def _needed(text: str) -> set[str]:

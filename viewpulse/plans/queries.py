@@ -15,13 +15,16 @@ from viewpulse.streaming import live
 
 # The derived data spans 2023-12-29 (late rows) to 2024-02-11.
 INGEST = "2024-02-12 02:00:00"
-FIRST_DAY, LAST_DAY = "2024-01-01", "2024-02-11"
+LAST_DAY = "2024-02-11"
 SECOND_LOAD = "2024-01-22 00:00:00"
 LOOKBACK_DATE = "2024-01-15"
 CDC_SINCE = "2024-02-01 00:00:00"
-LIVE_NOW = "2024-01-20 12:00:00"
+LIVE_BEFORE = "2024-01-20 12:00:00"
 FRESH_NOW = "2024-02-11 01:00:00"
 
+# A bound that makes many groups of the given data hot, to run the plans for hot groups on it.
+FEW_ROWS = 2
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -44,26 +47,23 @@ def staged(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.dedup_events(raw(spark, sf), INGEST)
 
 
-def hot_groups(spark: SparkSession, sf: str, across_days: bool = False) -> list[int]:
-    """Measured on the raw rows: removing copies only makes groups smaller."""
-    return hot_events(spark, sf, watch.group_keys(across_days))
+def stored_events(spark: SparkSession, sf: str) -> DataFrame:
+    """The deduplicated events as a table: hot keys are measured on it before it is used."""
+    return tables.settle(staged(spark, sf))
 
 
-def hot_events(spark: SparkSession, sf: str, keys: list[str]) -> list[int]:
-    """Hot keys of the raw events. There is at most one event per line item, so a short table needs no look."""
-    if derived.given(spark, sf, "lineitem").count() <= skew.MIN_HOT_ROWS:
-        return []
-    return skew.hot_keys(dedup.type_events(raw(spark, sf), INGEST), keys)
+def timed_facts(events: DataFrame, spark: SparkSession, sf: str, hot_rows: int = skew.MIN_HOT_ROWS) -> DataFrame:
+    return watch.playback_facts(events, derived.content(spark, sf), skew.hot_keys(events, watch.group_keys(), hot_rows))
 
 
 def facts(spark: SparkSession, sf: str) -> DataFrame:
-    return watch.playback_facts(staged(spark, sf), derived.content(spark, sf), hot_groups(spark, sf))
+    return timed_facts(stored_events(spark, sf), spark, sf)
 
 
-def users(spark: SparkSession, sf: str) -> DataFrame:
+def users(spark: SparkSession, sf: str, hot_rows: int = skew.MIN_HOT_ROWS) -> DataFrame:
+    """The history as a table: most queries look into it more than once."""
     cdc = derived.users_cdc(spark, sf)
-    short = derived.given(spark, sf, "customer").count() <= skew.MIN_HOT_ROWS
-    return scd2.scd2_apply(None, cdc, [] if short else skew.hot_keys(cdc, ["user_id"]))
+    return tables.settle(scd2.scd2_apply(None, cdc, skew.hot_keys(cdc, ["user_id"], hot_rows)))
 
 
 _MEASURED = [
@@ -82,13 +82,22 @@ def daily(spark: SparkSession, sf: str) -> DataFrame:
     return user_day.user_day(sessions_, playback, derived.content(spark, sf))
 
 
+def span(days: DataFrame) -> tuple:
+    """First and last date of user-days."""
+    return tuple(days.agg(F.min("activity_date"), F.max("activity_date")).first())
+
+
+def scored(days: DataFrame, dim: DataFrame) -> DataFrame:
+    return score.rescore_range(days, dim, *span(days)).select(*FCT_DAILY.columns)
+
+
 def scored_daily(spark: SparkSession, sf: str) -> DataFrame:
-    days = tables.settle(daily(spark, sf))
-    return score.rescore_range(days, users(spark, sf), FIRST_DAY, LAST_DAY).select(*FCT_DAILY.columns)
+    return scored(tables.settle(daily(spark, sf)), users(spark, sf))
 
 
-def mart(spark: SparkSession, sf: str, **options) -> DataFrame:
-    return weekly.weekly_mart(scored_daily(spark, sf), users(spark, sf), **options)
+def mart(spark: SparkSession, sf: str) -> DataFrame:
+    dim = users(spark, sf)
+    return weekly.weekly_mart(scored(tables.settle(daily(spark, sf)), dim), dim)
 
 
 def stored_mart(spark: SparkSession, sf: str) -> DataFrame:
@@ -130,13 +139,20 @@ def q_lookback_scan(spark, sf):
 # Facts
 
 
-def q_watch_time(spark, sf):
-    timed = watch.watch_time(staged(spark, sf), hot_groups(spark, sf))
+def q_watch_time(spark, sf, hot_rows=skew.MIN_HOT_ROWS):
+    events = stored_events(spark, sf)
+    timed = watch.watch_time(events, skew.hot_keys(events, watch.group_keys(), hot_rows))
     return timed.select("event_id", "session_id", "content_id", "event_date", "server_ts", "event_type", "watch_time_sec")
 
 
+def q_watch_time_hot(spark, sf):
+    """The cut windows on the given data: groups of more than two events count as hot."""
+    return q_watch_time(spark, sf, FEW_ROWS)
+
+
 def q_watch_time_across_days(spark, sf):
-    timed = watch.watch_time(staged(spark, sf), hot_groups(spark, sf, True), across_days=True)
+    events = stored_events(spark, sf)
+    timed = watch.watch_time(events, skew.hot_keys(events, watch.group_keys(True)), across_days=True)
     return timed.select("event_id", "session_id", "content_id", "event_date", "watch_time_sec")
 
 
@@ -170,6 +186,10 @@ def q_scd2_history(spark, sf):
     return _readable(users(spark, sf))
 
 
+def q_scd2_history_hot(spark, sf):
+    return _readable(users(spark, sf, FEW_ROWS))
+
+
 def q_scd2_incremental(spark, sf):
     """A first load, then the later changes on top: the same history as in one go."""
     cdc = derived.users_cdc(spark, sf)
@@ -204,24 +224,32 @@ def q_asof_plan_week(spark, sf):
     return asof.attach_at_date(weeks, users(spark, sf), "week_start_date", ["current_plan", "status"])
 
 
-def q_asof_plan_event(spark, sf):
-    events = staged(spark, sf)
-    hot = hot_events(spark, sf, ["user_id"])
-    placed = asof.attach_at_event(events, users(spark, sf), ["current_plan", "status"], hot=hot)
+def q_asof_plan_event(spark, sf, hot_rows=skew.MIN_HOT_ROWS):
+    events = stored_events(spark, sf)
+    placed = asof.attach_at_event(events, users(spark, sf), ["current_plan", "status"], hot=skew.hot_keys(events, ["user_id"], hot_rows))
     return placed.select("event_id", "user_id", "server_ts", "current_plan", "status")
 
 
+def q_asof_plan_event_hot(spark, sf):
+    return q_asof_plan_event(spark, sf, FEW_ROWS)
+
+
 def q_watch_time_by_plan(spark, sf):
-    hot = hot_events(spark, sf, ["user_id"])
-    return asof.watch_time_by_plan(facts(spark, sf), users(spark, sf), hot)
+    events = stored_events(spark, sf)
+    hot = skew.hot_keys(events, ["user_id"])
+    return asof.watch_time_by_plan(timed_facts(events, spark, sf), users(spark, sf), hot)
 
 
-def q_device_link(spark, sf):
-    hot = hot_events(spark, sf, ["device_id"])
-    linked = asof.link_devices(staged(spark, sf), hot)
+def q_device_link(spark, sf, hot_rows=skew.MIN_HOT_ROWS):
+    events = stored_events(spark, sf)
+    linked = asof.link_devices(events, skew.hot_keys(events, ["device_id"], hot_rows))
     return linked.select("event_id", "device_id", "user_id", "linked_user_id")
 
 
+def q_device_link_hot(spark, sf):
+    return q_device_link(spark, sf, FEW_ROWS)
+
+
 def q_calendar_dim(spark, sf):
     typed = dedup.type_events(raw(spark, sf), INGEST)
     span = typed.agg(F.min("event_date").alias("first_day"), F.max(F.to_date("server_ts")).alias("last_day"))
@@ -253,7 +281,8 @@ def q_engagement_score(spark, sf):
 
 
 def q_score_backfill(spark, sf):
-    return score.backfill_scores(tables.settle(daily(spark, sf)), users(spark, sf), FIRST_DAY, LAST_DAY)
+    days = tables.settle(daily(spark, sf))
+    return score.backfill_scores(days, users(spark, sf), *span(days))
 
 
 def q_score_validation(spark, sf):
@@ -268,7 +297,10 @@ def q_weekly_mart(spark, sf):
 
 
 def q_weekly_mart_dormant(spark, sf):
-    return mart(spark, sf, first_week=FIRST_DAY, last_week=LAST_DAY, include_dormant=True)
+    """Every week of the data, with the users that were absent in it."""
+    dim = users(spark, sf)
+    days = tables.settle(daily(spark, sf))
+    return weekly.weekly_mart(scored(days, dim), dim, *span(days), include_dormant=True)
 
 
 def _platform_days(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -276,7 +308,7 @@ def _platform_days(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     facts_by_session = tables.settle(sessions.session_facts(playback))
     days = tables.settle(user_day.user_day(facts_by_session, playback, derived.content(spark, sf)))
     dim = users(spark, sf)
-    scores = score.backfill_scores(days, dim, FIRST_DAY, LAST_DAY).drop("plan_segment")
+    scores = score.backfill_scores(days, dim, *span(days)).drop("plan_segment")
     per_platform = user_day.user_day_platform(facts_by_session)
     return weekly.attach_user_key(per_platform.join(scores, ["user_id", "activity_date"], "left"), dim), dim
 
@@ -425,7 +457,10 @@ def q_stream_concurrent_viewers(spark, sf):
 
 
 def q_live_recent_viewers(spark, sf):
-    return live.unzoned(live.concurrent_viewers(live.recent_latest(raw(spark, sf), LIVE_NOW)))
+    """The five minutes up to the last event before LIVE_BEFORE; later events are there, too."""
+    events = raw(spark, sf)
+    now = events.filter(F.col("server_ts") < F.lit(LIVE_BEFORE).cast("timestamp_ntz")).agg(F.max("server_ts")).first()[0]
+    return live.unzoned(live.concurrent_viewers(live.recent_latest(events, now)))
 
 
 def q_stream_viewer_marks(spark, sf):

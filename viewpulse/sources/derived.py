@@ -68,19 +68,13 @@ def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows over all cores when the files are too few to occupy them; large inputs are left as they are read."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def derive(spark: SparkSession, text: str, **frames: DataFrame) -> DataFrame:
     return spark.sql(text.replace("{TS}", "TIMESTAMP_NTZ"), **frames)
 
 
 def playback_events(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
     """Raw events; `lineitem` may be a stream of the same rows."""
-    lines = spread(given(spark, sf_dir, "lineitem").select(*_LINE), "l_orderkey") if lineitem is None else lineitem
+    lines = given(spark, sf_dir, "lineitem").select(*_LINE) if lineitem is None else lineitem
     return derive(spark, PLAYBACK, lineitem=lines, orders=given(spark, sf_dir, "orders"), part=given(spark, sf_dir, "part"))
 
 

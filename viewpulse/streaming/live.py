@@ -65,14 +65,15 @@ def maintain_latest(
 def recent_latest(log: DataFrame, now, minutes: int = RECENT_MINUTES) -> DataFrame:
     """Latest copies of the last minutes, straight from an append-only log.
 
-    The copy kept is the one with the greatest server_ts, so filtering on server_ts first cannot change which one wins and
-    only the newest files are read. The event type must be filtered afterwards.
+    The copy kept is the one with the greatest server_ts up to `now`; of a log read at its end that is the newest, and only
+    the newest files are read. The event type must be filtered afterwards.
     """
     return latest_copy(recent(log, now, minutes))
 
 
 def recent(df: DataFrame, now, minutes: int = RECENT_MINUTES, ts: str = "server_ts") -> DataFrame:
-    return df.filter(F.col(ts) > clock(now) - F.make_dt_interval(mins=F.lit(minutes)))
+    """Rows of the `minutes` up to and including `now`."""
+    return df.filter((F.col(ts) > clock(now) - F.make_dt_interval(mins=F.lit(minutes))) & (F.col(ts) <= clock(now)))
 
 
 def viewing(df: DataFrame) -> DataFrame:
