@@ -45,3 +45,8 @@ def between_days(column: Column, first: DateLike | Column, last: DateLike | Colu
 def back(d: DateLike, days: int) -> dt.date:
     """Plain calendar arithmetic on a run's own date, so that partition filters stay literals."""
     return dt.date.fromisoformat(str(d)) - dt.timedelta(days=days)
+
+
+def monday(d: DateLike) -> dt.date:
+    """Monday of the week of a run's own date."""
+    return back(d, dt.date.fromisoformat(str(d)).weekday())

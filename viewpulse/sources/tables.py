@@ -1,12 +1,14 @@
 """Writers for date-partitioned Parquet tables.
 
 Parquet has no row-level merge, so a merge reads the partitions it touches, writes the result to a staging table on shared
-storage and then overwrites exactly these partitions. Nothing is read and overwritten in one plan, and a job lost half-way
-leaves the table as it was.
+storage and then overwrites exactly these partitions. Nothing is read and overwritten in one plan. The overwrite itself
+commits date by date: a job lost during it leaves some dates new and some old, and the staging table stays. Merges and
+replacements give the same rows when run again, so running the step again completes it.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -22,6 +24,11 @@ from viewpulse.schemas import ALL_TABLES, Table
 from viewpulse.sources.files import scan
 
 
+LOCAL_MASTER = r"local(\[.*\])?"
+_own: dict[str, str] = {}
+_settled: dict[str, list[str]] = {}
+
+
 def _folder(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
@@ -37,9 +44,10 @@ def stage_root(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    # One process and one disk only in local[n]; local-cluster and all else have executors of their own.
+    if not re.fullmatch(LOCAL_MASTER, spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    return tempfile.mkdtemp(prefix="viewpulse-stage-")
+    return _own.setdefault(spark.sparkContext.applicationId, f"{tempfile.gettempdir()}/viewpulse-stage-{uuid.uuid4().hex}")
 
 
 def scratch(spark: SparkSession) -> str:
@@ -48,8 +56,19 @@ def scratch(spark: SparkSession) -> str:
 
 
 def settle(df: DataFrame, partition: str | None = None) -> DataFrame:
-    """Write `df` to a staging table and read it back: cuts lineage and computes shared inputs once."""
-    return _stage(df, partition)[0]
+    """Write `df` to a staging table and read it back: cuts lineage and computes shared inputs once.
+
+    The table stays, since results are computed later from it; `release` removes those of a session.
+    """
+    staged, path = _stage(df, partition)
+    _settled.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
+    return staged
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the tables `settle` has left, when what was made from them has been read or written."""
+    for path in _settled.pop(spark.sparkContext.applicationId, []):
+        _remove(spark, path)
 
 
 @contextmanager
@@ -108,6 +127,15 @@ def replace_days(df: DataFrame, root: str, table: Table) -> None:
     _write(by_partition(df, table), root, table, "dynamic")
 
 
+def replace_range(df: DataFrame, root: str, table: Table, first: DateLike, last: DateLike | None = None) -> None:
+    """Make `df` the whole content of the dates first..last (without `last`: of all later dates): what it lacks goes."""
+    with settled(df) as staged:
+        kept = {str(d) for d in _dates(staged, table.partition)}
+        replace_days(staged, root, table)
+        held = [d for d in stored_dates(df.sparkSession, root, table) if str(first) <= d and (last is None or d <= str(last))]
+        _drop(df.sparkSession, root, table, set(held) - kept)
+
+
 def append(df: DataFrame, root: str, table: Table) -> None:
     out = by_partition(df, table).select(*table.columns).write.mode("append")
     (out.partitionBy(table.partition) if table.partition else out).parquet(f"{root}/{table.path}")
@@ -119,6 +147,15 @@ def rewrite(df: DataFrame, root: str, table: Table) -> None:
         overwrite(staged, root, table)
 
 
+def stored_dates(spark: SparkSession, root: str, table: Table) -> list[str]:
+    """Dates of a stored table, from its folders; no file is opened. The folder of missing dates is left out."""
+    if not exists(spark, root, table):
+        return []
+    fs, p = _folder(spark, f"{root}/{table.path}")
+    values = [s.getPath().getName().partition("=")[2] for s in fs.listStatus(p) if s.isDirectory()]
+    return sorted(v for v in values if v and not v.startswith("__"))
+
+
 def _dates(df: DataFrame, column: str) -> list:
     """Distinct partition dates: one row per day of data."""
     return [r[0] for r in df.select(column).distinct().collect()]
@@ -176,7 +213,7 @@ def _drop(spark: SparkSession, root: str, table: Table, dates: Iterable) -> None
 
 def drop_days(spark: SparkSession, root: str, table: Table, first: DateLike, last: DateLike) -> None:
     """Remove the partitions of a range of dates, e.g. before a replay."""
-    _drop(spark, root, table, [d for d in _dates(scan(spark, root, table, first, last), table.partition)])
+    _drop(spark, root, table, [d for d in stored_dates(spark, root, table) if str(first) <= d <= str(last)])
 
 
 def retain(spark: SparkSession, root: str, table: Table, today: DateLike, days: int) -> None:
