@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 
 from viewpulse.plans.queries import CDC_SINCE, FRESH_NOW, INGEST, LAST_DAY, LIVE_BEFORE, LOOKBACK_DATE, SECOND_LOAD
-from viewpulse.schemas import OPEN_END, PLANS, VOD_TYPES
+from viewpulse.schemas import FCT_SESSIONS, OPEN_END, PLANS, VOD_TYPES
 from viewpulse.sources import derived
 
 
@@ -353,6 +353,42 @@ SELECT event_id, user_id, content_id, event_type, event_ts, server_ts, platform,
     "stream_concurrent_viewers": _viewers("staged"),
     "live_recent_viewers": _viewers("live_rows"),
     "stream_viewer_marks": _viewers("playback_events"),
+    "stream_approx_viewers": f"SELECT *, TRUE AS within_error FROM ({_viewers('playback_events')})",
+    "stream_sessions": _gaps("playback_events", "user_id", "server_ts"),
+    "raw_sessions_scan": f"""
+SELECT * FROM (SELECT *, CAST(session_start_ts AS DATE) AS session_date FROM app_sessions)
+WHERE session_date BETWEEN DATE '{LOOKBACK_DATE}' AND DATE '{LAST_DAY}'""",
+    "cdc_since": f"SELECT * FROM users_cdc WHERE last_updated_ts >= TIMESTAMP '{CDC_SINCE}'",
+    "lookback_empty_days": f"{_STAGED} WHERE event_date = (SELECT max(event_date) FROM staged)",
+    "append_table": _SESSIONS,
+    "table_statistics": " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) - count({c}) AS num_nulls FROM session_rows" for c in FCT_SESSIONS.columns
+    ),
+    "exec_summary_order": """
+SELECT row_number() OVER (ORDER BY wow DESC NULLS LAST, segment, plan NULLS FIRST) AS position, segment, plan, wow AS avg_wow_change_pct
+FROM (SELECT segment, plan, WOW_0 AS wow FROM newest GROUP BY 1, 2)""".replace(
+        "WOW_0", number(half_up("sum(coalesce(wow_c, 0))", "100 * count(*)", 2))
+    ),
+    "segment_velocity_order": """
+SELECT row_number() OVER (ORDER BY abs(wow) DESC NULLS LAST, segment, plan NULLS FIRST) AS position, segment, plan, wow AS avg_wow_change
+FROM (SELECT segment, plan, WOW AS wow FROM newest GROUP BY 1, 2)""".replace("WOW", number(half_up("sum(wow_c)", "100 * count(wow_c)", 2))),
+    "score_validation_order": f"""
+SELECT row_number() OVER (ORDER BY avg_score DESC NULLS LAST, plan_segment) AS position, plan_segment, avg_score FROM (
+ SELECT plan_segment, {number(half_up("sum(engagement_score)", "count(engagement_score)", 1), 1)} AS avg_score
+ FROM scored_days WHERE activity_date >= DATE '{LAST_DAY}' - 7 GROUP BY 1)""",
+    "gate_events": """
+SELECT name, passed, name <> 'watch_time_over_300s' AS stops, name <> 'watch_time_over_300s' AND NOT passed AS blocks FROM (CHECKS)""".replace(
+        "CHECKS",
+        _checks(
+            "facts",
+            [
+                ("null_event_id", "event_id IS NULL", 0.0),
+                ("negative_watch_time", "watch_time_sec < 0", 0.0),
+                ("watch_time_over_300s", "watch_time_sec > 300", 0.001),
+                ("event_date_lag_gt_2d", "date_diff('day', event_date, CAST(server_ts AS DATE)) > 2", 0.01),
+            ],
+        ),
+    ),
     "stream_session_window": _gaps("events", "user_id", "ts"),
     "weekly_minutes": f"""
 SELECT user_id, CAST(date_trunc('week', activity_date) AS DATE) AS week_start_date, {number("sum(min_c)")} AS total_watch_time_min

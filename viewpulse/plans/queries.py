@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from viewpulse.functions.dates import back
 from viewpulse.functions.keys import row_hash, surrogate_key
 from viewpulse.operators import asof, dedup, dims, quality, reports, scd2, score, sessions, skew, upsert, user_day, watch, weekly
-from viewpulse.schemas import FCT_DAILY, FCT_SESSIONS, LIVE_EVENTS, MART_PLAN_PLATFORM, PLANS, RAW_EVENTS, STG_EVENTS
+from viewpulse.schemas import FCT_DAILY, FCT_SESSIONS, LIVE_EVENTS, MART_PLAN_PLATFORM, PLANS, RAW_EVENTS, RAW_SESSIONS, RAW_USERS, STG_EVENTS
 from viewpulse.sources import derived, files, tables
 from viewpulse.streaming import live
 
@@ -22,6 +24,12 @@ CDC_SINCE = "2024-02-01 00:00:00"
 LIVE_BEFORE = "2024-01-20 12:00:00"
 FRESH_NOW = "2024-02-11 01:00:00"
 
+# The JSON feed: files a landing folder gets, how late an event can come there, how far apart two copies can be dated.
+FEED_FILES = 4
+FEED_HORIZON = "60 days"
+COPY_DAYS = 5
+CLOSING = "2024-12-31 00:00:00"
+
 # A bound that makes many groups of the given data hot, to run the plans for hot groups on it.
 FEW_ROWS = 2
 
@@ -136,6 +144,29 @@ def q_lookback_scan(spark, sf):
     return files.lookback(spark, root, STG_EVENTS, LOOKBACK_DATE)
 
 
+def q_raw_sessions_scan(spark, sf):
+    """App sessions by date, read back for a range of dates."""
+    root = tables.scratch(spark)
+    dated = derived.app_sessions(spark, sf).withColumn("session_date", F.to_date("session_start_ts"))
+    dated.hint("rebalance", F.col("session_date")).write.partitionBy("session_date").parquet(f"{root}/{RAW_SESSIONS.path}")
+    return files.read_sessions(spark, root, LOOKBACK_DATE, LAST_DAY).select(*dated.columns)
+
+
+def q_cdc_since(spark, sf):
+    root = tables.scratch(spark)
+    derived.users_cdc(spark, sf).write.parquet(f"{root}/{RAW_USERS.path}")
+    return files.read_user_cdc(spark, root, since=CDC_SINCE)
+
+
+def q_lookback_empty_days(spark, sf):
+    """A lookback whose process date and the day before have no data: the days there are, no error."""
+    root = tables.scratch(spark)
+    events = stored_events(spark, sf)
+    last = events.agg(F.max("event_date")).first()[0]
+    tables.overwrite(events, root, STG_EVENTS)
+    return files.lookback(spark, root, STG_EVENTS, back(last, -2))
+
+
 # Facts
 
 
@@ -342,6 +373,23 @@ def q_at_risk_top100(spark, sf):
     return reports.at_risk_users(stored_mart(spark, sf))
 
 
+def _in_order(report: DataFrame) -> DataFrame:
+    """Position of each row of a sorted report of a few rows."""
+    return report.coalesce(1).withColumn("position", F.monotonically_increasing_id() + 1)
+
+
+def q_exec_summary_order(spark, sf):
+    return _in_order(reports.executive_summary(stored_mart(spark, sf))).select("position", "segment", "plan", "avg_wow_change_pct")
+
+
+def q_segment_velocity_order(spark, sf):
+    return _in_order(reports.segment_velocity(stored_mart(spark, sf))).select("position", "segment", "plan", "avg_wow_change")
+
+
+def q_score_validation_order(spark, sf):
+    return _in_order(q_score_validation(spark, sf)).select("position", "plan_segment", "avg_score")
+
+
 def q_report_csv(spark, sf):
     """Segment velocity exported as CSV and read back."""
     path = tables.scratch(spark)
@@ -402,6 +450,30 @@ def q_replay_and_retain(spark, sf):
     return files.scan(spark, root, FCT_SESSIONS)
 
 
+def q_append_table(spark, sf):
+    """Two loads appended one after the other."""
+    root = tables.scratch(spark)
+    days = tables.settle(sessions.session_facts(facts(spark, sf)))
+    early = F.coalesce(F.col("session_date") < F.lit(LOOKBACK_DATE).cast("date"), F.lit(False))
+    for part in (days.filter(early), days.filter(~early)):
+        tables.append(part, root, FCT_SESSIONS)
+    return files.scan(spark, root, FCT_SESSIONS)
+
+
+def q_table_statistics(spark, sf):
+    """Column statistics of the stored sessions: rows and nulls by column."""
+    root, name = tables.scratch(spark), f"viewpulse_{uuid.uuid4().hex}"
+    tables.overwrite(sessions.session_facts(facts(spark, sf)), root, FCT_SESSIONS)
+    tables.register(spark, root, FCT_SESSIONS, name)
+    tables.analyze(spark, name)
+    found = []
+    for column in FCT_SESSIONS.columns:
+        info = dict(tuple(r)[:2] for r in spark.sql(f"DESCRIBE EXTENDED {name} {column}").collect())
+        found.append((column, int(info["num_nulls"])))
+    spark.sql(f"DROP TABLE {name}")
+    return spark.createDataFrame(found, "column_name string, num_nulls bigint")
+
+
 def q_clustered_layout(spark, sf):
     """Sessions rewritten in clustered order; the rows stay the same."""
     root = tables.scratch(spark)
@@ -417,6 +489,12 @@ def q_dq_events(spark, sf):
     return quality.check_suite(facts(spark, sf), quality.event_rules())
 
 
+def q_gate_events(spark, sf):
+    """What the gate makes of each rule."""
+    rules = quality.event_rules()
+    return quality.gate_report(quality.check_suite(facts(spark, sf), rules), rules)
+
+
 def q_dq_daily(spark, sf):
     return quality.check_suite(scored_daily(spark, sf), quality.daily_rules())
 
@@ -428,24 +506,46 @@ def q_dq_plan_platform(spark, sf):
 # Streams
 
 
-def _feed(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    schema = derived.given(spark, sf, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+class Feed:
+    """The raw events as JSON files in a landing folder, some files a batch, and runs of a stream over them."""
 
+    def __init__(self, spark: SparkSession, sf: str):
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        self.spark, self.root = spark, tables.scratch(spark)
+        self.path = f"{self.root}/landing"
+        events = raw(spark, sf).select(*LIVE_EVENTS.columns[:-1])
+        # Copies of an event lie in different files, unless they are equally new: of those the first batch's would stay.
+        live.zoned(events).repartition(FEED_FILES, "content_id", "server_ts").write.json(self.path)
 
-def _live_events(spark: SparkSession, sf: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    events = derived.playback_events(spark, sf, lineitem=_feed(spark, sf, "lineitem"))
-    return events.withColumn("event_date", F.to_date("event_ts")).select(*LIVE_EVENTS.columns)
+    def stream(self) -> DataFrame:
+        return live.event_stream(self.spark, self.path, files_per_trigger=FEED_FILES // 2)
+
+    def close(self, now: str = CLOSING) -> None:
+        """A last event far behind all others: it moves the watermark past every open window."""
+        last = self.spark.range(1).select(
+            F.lit("closing").alias("event_id"), F.lit("closing").alias("user_id"), F.lit("heartbeat").alias("event_type"), F.lit("none").alias("platform"),
+            F.lit(now).cast("timestamp").alias("event_ts"), F.lit(now).cast("timestamp").alias("server_ts"),
+        )
+        last.write.mode("append").json(self.path)
+
+    def appended(self, result: DataFrame, name: str) -> DataFrame:
+        """All rows of an append-mode result: what is there, then, after a restart, what the closing event lets out."""
+        out = f"{self.root}/{name}"
+        for closing in (False, True):
+            if closing:
+                self.close()
+            live.append_to(result, out, f"{out}-checkpoint", availableNow=True).awaitTermination()
+        return live.unzoned(self.spark.read.schema(result.schema).parquet(out))
 
 
 def _latest_table(spark: SparkSession, sf: str) -> DataFrame:
-    root = tables.scratch(spark)
+    feed = Feed(spark, sf)
+    events = feed.stream().withColumn("event_date", F.to_date("event_ts"))
     run = live.maintain_latest(
-        live.zoned(_live_events(spark, sf)), root, LIVE_EVENTS, f"{root}/checkpoint-{LIVE_EVENTS.path}", availableNow=True
+        events, feed.root, LIVE_EVENTS, f"{feed.root}/checkpoint-{LIVE_EVENTS.path}", match_days=COPY_DAYS, availableNow=True
     )
     run.awaitTermination()
-    return files.scan(spark, root, LIVE_EVENTS)
+    return files.scan(spark, feed.root, LIVE_EVENTS)
 
 
 def q_stream_dedup(spark, sf):
@@ -463,27 +563,51 @@ def q_live_recent_viewers(spark, sf):
     return live.unzoned(live.concurrent_viewers(live.recent_latest(events, now)))
 
 
-def q_stream_viewer_marks(spark, sf):
-    out = f"{tables.scratch(spark)}/marks"
-    marks = live.viewer_marks(live.zoned(_live_events(spark, sf)))
+def _marked_viewers(feed: Feed) -> DataFrame:
+    out = f"{feed.root}/marks"
+    # The files are not in order of time, so the watermark has to wait for all of them.
+    marks = live.viewer_marks(feed.stream(), horizon=FEED_HORIZON)
     live.append_to(marks, out, f"{out}-checkpoint", availableNow=True).awaitTermination()
-    seen = spark.read.schema(marks.schema).parquet(out)
+    seen = feed.spark.read.schema(marks.schema).parquet(out)
     return live.unzoned(seen.groupBy("platform", "minute").agg(F.count("user_id").alias("concurrent_viewers")))
 
 
+def q_stream_viewer_marks(spark, sf):
+    return _marked_viewers(Feed(spark, sf))
+
+
 def q_stream_approx_viewers(spark, sf):
-    out = f"{tables.scratch(spark)}/approx"
-    counts = live.approx_viewers(live.zoned(_live_events(spark, sf)))
-    live.publish(counts, out, f"{out}-checkpoint", availableNow=True).awaitTermination()
-    return live.unzoned(spark.read.schema(counts.schema).parquet(out))
+    """Viewers per minute, and whether the sketch is within three times its error of 5 %, or one viewer."""
+    feed = Feed(spark, sf)
+    exact = _marked_viewers(feed)
+    approx = feed.appended(live.approx_viewers(feed.stream(), horizon=FEED_HORIZON), "approx")
+    about = approx.select("platform", "minute", F.col("concurrent_viewers").alias("about"))
+    off = F.abs(F.col("about") - F.col("concurrent_viewers"))
+    within = F.coalesce(off <= F.greatest(F.lit(1.0), 0.15 * F.col("concurrent_viewers")), F.lit(False))
+    return exact.join(about, ["platform", "minute"], "full").select("platform", "minute", "concurrent_viewers", within.alias("within_error"))
+
+
+def q_stream_sessions(spark, sf):
+    """Sessions of devices' users by inactivity, from JSON files over several batches and a restart, in append mode."""
+    feed = Feed(spark, sf)
+    found = live.session_windows(feed.stream(), "user_id", "server_ts", horizon=FEED_HORIZON)
+    return feed.appended(found, "sessions").filter("user_id IS NULL OR user_id <> 'closing'")
 
 
 def q_stream_session_window(spark, sf):
+    """The given events in append mode; the last sessions are let out by a closing event."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    out = f"{tables.scratch(spark)}/sessions"
-    found = live.session_windows(live.zoned(_feed(spark, sf, "events")).select("user_id", "ts"), "user_id", "ts")
-    live.publish(found, out, f"{out}-checkpoint", availableNow=True).awaitTermination()
-    return live.unzoned(spark.read.schema(found.schema).parquet(out))
+    root = tables.scratch(spark)
+    events = derived.given(spark, sf, "events").select("user_id", "ts")
+    live.zoned(events).write.parquet(f"{root}/landing")
+    stream = spark.readStream.schema(live.zoned(events).schema).parquet(f"{root}/landing")
+    found = live.session_windows(stream, "user_id", "ts")
+    for closing in (False, True):
+        if closing:
+            last = spark.range(1).select(F.lit(None).cast(events.schema["user_id"].dataType).alias("user_id"), F.lit(CLOSING).cast("timestamp").alias("ts"))
+            last.write.mode("append").parquet(f"{root}/landing")
+        live.append_to(found, f"{root}/sessions", f"{root}/checkpoint", availableNow=True).awaitTermination()
+    return live.unzoned(spark.read.schema(found.schema).parquet(f"{root}/sessions"))
 
 
 def weekly_minutes(spark: SparkSession, sf: str) -> DataFrame:

@@ -120,8 +120,10 @@ def session_windows(stream: DataFrame, key: str, ts: str, gap: str = "30 minutes
     """Sessions closed by inactivity.
 
     With `append_to` each session is written once, when the watermark has passed its end, and its state is dropped. With
-    `publish` open sessions are shown too, at the price of keeping them all: for feeds of bounded length.
+    `publish` open sessions are shown too, at the price of keeping them all: for feeds of bounded length. Rows of a busy key
+    are folded to sessions in their own partition before they meet, so the exchange carries sessions, not events.
     """
+    stream.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     return (
         stream.withWatermark(ts, horizon)
         .groupBy(key, F.session_window(ts, gap).alias("w"))
@@ -136,10 +138,13 @@ def append_to(stream: DataFrame, path: str, checkpoint: str, **trigger) -> Strea
 
 
 def publish(stream: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Overwrite `path` with the whole result of an aggregation after every batch (complete mode)."""
+    """The whole result of an aggregation after every batch (complete mode, all state is kept: for feeds of bounded length).
 
-    def replace(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+    Each batch goes to a folder of its own under `path`, so readers never meet a half-written result; see `published`.
+    """
+
+    def replace(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch-{batch_id:012d}")
 
     return (
         stream.writeStream.outputMode("complete")
@@ -148,3 +153,12 @@ def publish(stream: DataFrame, path: str, checkpoint: str, **trigger) -> Streami
         .trigger(**trigger)
         .start()
     )
+
+
+def published(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The newest complete result of `publish`."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    batches = [s.getPath() for s in fs.listStatus(folder)]
+    done = [p.toString() for p in batches if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return spark.read.schema(schema).parquet(max(done))
