@@ -27,8 +27,8 @@ from viewpulse.llm.shipping import in_arrow
 class Training:
     """Bounds of the sample and settings of the fit."""
 
-    toxic: int = 1500
-    others: int = 3000
+    toxic: int = 800
+    others: int = 1600
     ngrams: tuple[int, ...] = (4, 5, 6, 7, 8)
     buckets: int = 1 << 20
     min_documents: int = 3
@@ -52,7 +52,7 @@ def ngram_buckets(words: Sequence[str], ngrams: Sequence[int], buckets: int) ->
     joined = " " + "  ".join(words) + " "
     chars = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     sizes = np.fromiter((len(w) + 2 for w in words), np.int64, len(words))
-    word_of = np.repeat(np.arange(len(words)), sizes)
+    word_of = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
     found, owners = [], []
     hashes = np.zeros(len(chars), np.uint64)
     for n in range(1, max(ngrams) + 1):
@@ -60,11 +60,11 @@ def ngram_buckets(words: Sequence[str], ngrams: Sequence[int], buckets: int) ->
         if n in ngrams:
             inside = np.flatnonzero(word_of[: len(hashes)] == word_of[n - 1 :])
             mixed = (hashes[inside] ^ (hashes[inside] >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-            found.append(((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64))
+            found.append(((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32))
             owners.append(word_of[inside])
         if len(hashes) <= 1:
             break
-    return (np.concatenate(found), np.concatenate(owners)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    return (np.concatenate(found), np.concatenate(owners)) if found else (np.zeros(0, np.int32), np.zeros(0, np.int32))
 
 
 def _readable(pieces: list[bytes]) -> tuple[np.ndarray, list[str]]:
@@ -108,24 +108,34 @@ def fit(documents: Sequence[Sequence[str]], toxic: Sequence[bool], training: Tra
         # Nothing to tell apart: every score is the label all rows have, 0 without any.
         return Model(training.ngrams, np.zeros(training.buckets), 500.0 if len(y) and y.all() else -500.0)
     ids: dict[str, int] = {}
-    word = np.array([ids.setdefault(w, len(ids)) for d in documents for w in d], np.int64)
-    text = np.repeat(np.arange(len(documents)), [len(d) for d in documents])
-    bucket, owner = ngram_buckets(list(ids), training.ngrams, training.buckets)
-
-    def in_texts(values: np.ndarray) -> np.ndarray:
-        """Sum over texts for each bucket, counting words."""
-        return np.bincount(bucket, np.bincount(word, values[text], len(ids))[owner], training.buckets)
-
+    word = np.fromiter((ids.setdefault(w, len(ids)) for d in documents for w in d), np.int32)
+    text = np.repeat(np.arange(len(documents), dtype=np.int32), [len(d) for d in documents])
+    words = list(ids)
+    del ids
+
+    # One length of n-grams at a time, twice: to count and, when it is known which are frequent enough, to keep those.
+    inside, outside = np.zeros(training.buckets), np.zeros(training.buckets)
+    in_toxic = np.bincount(word, y[text], len(words))
+    in_others = np.bincount(word, (1 - y)[text], len(words))
+    for n in training.ngrams:
+        bucket, owner = ngram_buckets(words, (n,), training.buckets)
+        inside += np.bincount(bucket, in_toxic[owner], training.buckets)
+        outside += np.bincount(bucket, in_others[owner], training.buckets)
     a, n_toxic, n_others = training.smoothing, y.sum(), (1 - y).sum()
-    inside, outside = in_texts(y), in_texts(1 - y)
     active = np.flatnonzero(inside + outside >= training.min_documents)
     ratio = np.log((inside[active] + a) / (n_toxic + 2 * a)) - np.log((outside[active] + a) / (n_others + 2 * a))
-    dense = np.full(training.buckets, -1)
+    dense = np.full(training.buckets, -1, np.int32)
     dense[active] = np.arange(len(active))
-    feature = dense[bucket]
-    owner, feature = owner[feature >= 0], feature[feature >= 0]
-    to_words, to_features = Sums(owner, feature, len(ids)), Sums(feature, owner, len(active))
-    to_texts, from_texts = Sums(text, word, len(y)), Sums(word, text, len(ids))
+    kept = []
+    for n in training.ngrams:
+        bucket, owner = ngram_buckets(words, (n,), training.buckets)
+        feature = dense[bucket]
+        kept.append((feature[feature >= 0], owner[feature >= 0]))
+    feature, owner = (np.concatenate(parts) for parts in zip(*kept, strict=True))
+    n_words = len(words)
+    del words, kept, bucket, inside, outside
+    to_words, to_features = Sums(owner, feature, n_words), Sums(feature, owner, len(active))
+    to_texts, from_texts = Sums(text, word, len(y)), Sums(word, text, n_words)
     row_weights = np.where(y > 0, 1.0, weigh_others)
     row_weights /= row_weights.sum()
 
