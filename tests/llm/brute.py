@@ -74,6 +74,29 @@ def components(rows: list[tuple]) -> dict:
     return {i: least[of[f]] for i, f in fps.items()}
 
 
+def similar(rows: list[tuple], least: float = 0.8) -> dict:
+    """doc_id: smallest doc_id of its group by the Jaccard similarity of five-word shingles, comparing all pairs."""
+    grams = {}
+    for i, t in rows:
+        words = words_of(lower(t or ""))
+        grams[i] = frozenset(" ".join(words[k : k + 5]) for k in range(max(1, len(words) - 4))) if words else frozenset()
+    root = {i: i for i, _ in rows}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    ids = sorted(root)
+    for k, a in enumerate(ids):
+        for b in ids[k + 1 :]:
+            shared = len(grams[a] & grams[b])
+            if grams[a] == grams[b] or shared >= least * (len(grams[a]) + len(grams[b]) - shared) > 0:
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {i: find(i) for i in ids}
+
+
 def dedup_lines(rows: list[tuple]) -> dict:
     """doc_id: (lines, dropped, what is left). rows: (doc_id, text) with distinct ids."""
     key = lambda line: lower(line.strip(SPACE))

@@ -160,7 +160,7 @@ def test_pipeline_against_brute_force(spark):
     kept = {r.doc_id for r in queries.op7_repetition_rules(spark, SF).collect() if r.kept}
     docs = [(i, t) for i, t in docs if i in kept and not brute.repetition(t)[5]]
     docs = [(i, out[2]) for i, out in brute.dedup_lines(docs).items()]
-    group = brute.components(docs)
+    group = brute.similar(docs)
     docs = [(i, t) for i, t in docs if group[i] == i]
     pieces = corpus_pipeline.run(spark, SF).collect()
     packed_rows(pieces)

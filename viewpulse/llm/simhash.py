@@ -32,6 +32,14 @@ MAX_BITS = 2
 PAIR_ROWS = 64
 CHUNK = 1 << 15
 
+#: Near-duplicates by similarity: words of a shingle, least Jaccard similarity, share of such pairs that blocks bring together
+#: (those further above are found more surely), 64-bit words of a fingerprint, pivots of a crowded block.
+SIMILAR_SHINGLE = 5
+SIMILARITY = 0.8
+RECALL = 0.98
+WIDE = 4
+PIVOTS = 4
+
 
 def fingerprint(text: bytes | None, words_per_shingle: int = SHINGLE) -> int:
     """Signed 64-bit SimHash of a UTF-8 text; 0 without words."""
@@ -142,9 +150,155 @@ def near_duplicates(documents: DataFrame, words_per_shingle: int = SHINGLE, max_
     return rows.join(of_class, "fp").select("doc_id", "text_hash", "fp", F.struct("keeper.doc_id", "keeper.text_hash").alias("keeper"))
 
 
+def wide_fingerprint(text: bytes | None, words_per_shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """SimHash of `WIDE` 64-bit words, and the sorted hashes of the text's distinct shingles."""
+    words = text.lower().split() if text else []
+    if not words:
+        return np.zeros(WIDE, np.uint64), np.zeros(0, np.uint64)
+    found = []
+    for at in range(0, max(1, len(words) - words_per_shingle + 1), CHUNK):
+        part = words[at : at + CHUNK + words_per_shingle - 1]
+        shingles = map(b" ".join, zip(*[part[k:] for k in range(words_per_shingle)], strict=False)) if len(words) >= words_per_shingle else [b" ".join(words)]
+        found.append(np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles], np.uint64))
+    grams = np.unique(np.concatenate(found))
+    counts = np.zeros((WIDE, BITS), np.int64)
+    for at in range(0, len(grams), CHUNK):
+        h = grams[at : at + CHUNK]
+        for k in range(WIDE):
+            counts[k] += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+            # The next word is made from the last one by a 64-bit mixer.
+            h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+            h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return np.packbits(counts * 2 > len(grams), axis=1, bitorder="little").view(np.uint64).ravel(), grams
+
+
+def _wide(words_per_shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [wide_fingerprint(t.as_py(), words_per_shingle)[0].tobytes() for t in batch.column("text").cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(found, pa.binary())], names=["doc_id", "text_hash", "wide"])
+
+    return run
+
+
+def _grams(words_per_shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [wide_fingerprint(t.as_py(), words_per_shingle)[1].tobytes() for t in batch.column("text").cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.binary())], names=["node", "grams"])
+
+    return run
+
+
+def _tables(masks: np.ndarray):
+    """Key of every class in every table: a hash of the fingerprint's bits that the table looks at."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wide = np.frombuffer(b"".join(batch.column("wide").to_pylist()), np.uint64).reshape(-1, WIDE)
+            for t, mask in enumerate(masks):
+                key = np.zeros(len(wide), np.uint64)
+                for k in range(WIDE):
+                    key = (key ^ (wide[:, k] & mask[k])) * np.uint64(0x9E3779B97F4A7C15)
+                    key ^= key >> np.uint64(32)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(wide), t, np.int32)), pa.array(key.view(np.int64)), batch.column("node")], names=["t", "key", "node"])
+
+    return run
+
+
+def _near_enough(max_bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, WIDE) for c in ("wide_a", "wide_b"))
+            near = np.bitwise_count(a ^ b).sum(axis=1) <= max_bits
+            yield batch.select(["a", "b"]).filter(pa.array(near))
+
+    return run
+
+
+def _similar(similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            for x, y in zip(batch.column("grams_a").to_pylist(), batch.column("grams_b").to_pylist(), strict=True):
+                a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                shared = len(np.intersect1d(a, b, assume_unique=True))
+                kept.append(shared >= similarity * (len(a) + len(b) - shared))
+            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    return run
+
+
+def plan_tables(classes: int, similarity: float, recall: float) -> np.ndarray:
+    """Masks of the tables: as many bits as keep chance meetings rare among so many classes, and as many tables as find a
+    pair of the least similarity with the probability `recall`.
+
+    A bit of two SimHashes differs with the angle of their shingle sets over pi.
+    """
+    same = 1 - np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    bits = max(12, int(np.ceil(np.log2(max(classes, 2)))) + 1)
+    tables = int(np.ceil(np.log(1 - recall) / np.log(1 - same**bits)))
+    random = np.random.default_rng(SEED)
+    masks = np.zeros((tables, WIDE), np.uint64)
+    for mask in masks:
+        for bit in random.choice(WIDE * BITS, bits, replace=False):
+            mask[bit // BITS] |= np.uint64(1) << np.uint64(bit % BITS)
+    return masks
+
+
+def candidates(classes: DataFrame, masks: np.ndarray, pair_rows: int = PAIR_ROWS) -> DataFrame:
+    """Distinct pairs (a < b) of nodes that share a block. A block of over `pair_rows` nodes is linked to `PIVOTS` of them."""
+    blocks = in_arrow(classes.select("node", "wide"), _tables(masks), "t int, key long, node long")
+    blocks = settle(blocks)
+    met = settle(blocks.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("a"), F.max("node").alias("b")).filter("n > 1"))
+    more = settle(blocks.join(met.filter("n > 2").select("t", "key", "n"), ["t", "key"]))
+    small = more.filter(F.col("n") <= pair_rows).select("t", "key", "node")
+    left, right = small.withColumnRenamed("node", "a"), small.withColumnRenamed("node", "b")
+    some = left.join(right, ["t", "key"]).filter("a < b").select("a", "b")
+    crowded = more.filter(F.col("n") > pair_rows)
+    chosen = [F.min_by("node", F.xxhash64("node", "t", F.lit(i))).alias(f"p{i}") for i in range(PIVOTS)]
+    pivots = settle(crowded.groupBy("t", "key").agg(*chosen).select("t", "key", F.array(*[f"p{i}" for i in range(PIVOTS)]).alias("pivots")))
+    starred = crowded.join(pivots, ["t", "key"]).select("node", F.explode("pivots").alias("pivot")).filter("node <> pivot")
+    starred = starred.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
+    return met.filter("n = 2").select("a", "b").unionByName(some).unionByName(starred).distinct()
+
+
+def similar_documents(
+    documents: DataFrame, words_per_shingle: int = SIMILAR_SHINGLE, similarity: float = SIMILARITY, recall: float = RECALL, pair_rows: int = PAIR_ROWS
+) -> DataFrame:
+    """doc_id, text_hash, keeper, one row per document: near-duplicates by the Jaccard similarity of their word shingles.
+
+    Two bits apart are only the closest copies: at a similarity of 0.8 a seventh of all bits differ. So fingerprints are
+    wide, blocks are choices of their bits, pairs that share a block are verified by Hamming distance and then by the exact
+    similarity of the two texts. Awkward rows are treated as in `near_duplicates`; texts without words are copies of each
+    other.
+    """
+    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), F.col("text"))
+    marked = settle(in_arrow(rows, _wide(words_per_shingle), "doc_id long, text_hash long, wide binary").withColumn("node", F.xxhash64("wide")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("anonymous"), "doc_id", "text_hash"))
+    classes = settle(marked.groupBy("node").agg(first.alias("first"), F.min("wide").alias("wide")))
+    masks = plan_tables(classes.count(), similarity, recall)
+    wide = classes.select("node", "wide")
+    pairs = candidates(classes, masks, pair_rows)
+    pairs = pairs.join(wide.toDF("a", "wide_a"), "a").join(wide.toDF("b", "wide_b"), "b")
+    differ = np.arccos(2 * similarity / (1 + similarity)) / np.pi * WIDE * BITS
+    near = settle(in_arrow(pairs, _near_enough(int(differ + 3 * np.sqrt(differ))), "a long, b long"))
+    nodes = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = classes.join(nodes, "node").select("node", F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+    grams = in_arrow(rows.join(wanted, same).select("node", "text"), _grams(words_per_shingle), "node long, grams binary")
+    grams = settle(grams.groupBy("node").agg(F.min("grams").alias("grams")))
+    checked = near.join(grams.toDF("a", "grams_a"), "a").join(grams.toDF("b", "grams_b"), "b")
+    found = components(in_arrow(checked, _similar(similarity), "a long, b long"))
+    labelled = classes.join(found, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
+    keepers = labelled.groupBy("root").agg(F.min("first").alias("keeper"))
+    of_class = settle(labelled.join(keepers, "root").select("node", F.struct("keeper.doc_id", "keeper.text_hash").alias("keeper")))
+    return marked.join(of_class, "node").select("doc_id", "text_hash", "keeper")
+
+
 def drop_near_duplicates(documents: DataFrame, **options) -> DataFrame:
-    """The rows of `documents` that stand for their component; of repeated rows one stays."""
-    stay = near_duplicates(documents, **options).filter(F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")) & (F.col("text_hash") == F.col("keeper.text_hash")))
+    """The rows of `documents` that stand for their group of similar documents; of repeated rows one stays."""
+    stay = similar_documents(documents, **options).filter(F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")) & (F.col("text_hash") == F.col("keeper.text_hash")))
     stay = stay.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     row = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_d"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_text"))
     same = F.col("_d.doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash"))
