@@ -29,6 +29,7 @@ WINDOW = 1024
 END_ID = 0
 BLOCK_DOCS = 512
 SHARD_TOKENS = 1_000_000
+KEYED_ROWS = 2000
 K1, B = 1.2, 0.75
 
 _TOKENS = "doc_id long, doc_tokens long, sums array<long>, tail binary, terms binary, counts binary"
@@ -96,19 +97,31 @@ def _numbers(values: list[bytes]) -> list[np.ndarray]:
     return [np.frombuffer(v, "<u2") for v in values]
 
 
+def _telling(corpus: Corpus, terms: list[np.ndarray], counts: list[np.ndarray], tokens: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """The two terms of the largest weight of each document, ties to smaller terms; 0 if there is no second."""
+    sizes = np.array([len(t) for t in terms])
+    starts = np.cumsum(sizes) - sizes
+    flat = np.concatenate(terms)
+    w = corpus.weights(flat, np.concatenate(counts).astype(np.float64), np.repeat(np.array(tokens), sizes))
+    found = []
+    for _ in range(2):
+        top = np.flatnonzero(w == np.repeat(np.maximum.reduceat(w, starts), sizes))
+        at = top[np.searchsorted(top, starts)]
+        found.append(np.where(w[at] > -np.inf, flat[at], 0).astype(np.int32))
+        w[at] = -np.inf
+    return found[0], found[1]
+
+
 def _keyed(shared):
-    """Adds the two most telling terms of each document."""
+    """Adds the two most telling terms of each document. Every document has a term, its end id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        corpus: Corpus = shared.value
-        for batch in batches:
-            keys = np.zeros((batch.num_rows, 2), np.int32)
-            columns = (_numbers(batch.column(c).to_pylist()) for c in ("terms", "counts"))
-            for i, (terms, counts, tokens) in enumerate(zip(*columns, batch.column("doc_tokens").to_pylist(), strict=True)):
-                w = corpus.weights(terms, counts.astype(np.float64), tokens)
-                best = np.argsort(-w, kind="stable")[:2]
-                keys[i, : len(best)] = terms[best]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys[:, 0]), pa.array(keys[:, 1])], names=[*batch.schema.names, "k1", "k2"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, KEYED_ROWS):
+                batch = whole.slice(at, KEYED_ROWS)
+                terms, counts = (_numbers(batch.column(c).to_pylist()) for c in ("terms", "counts"))
+                keys = _telling(shared.value, terms, counts, batch.column("doc_tokens").to_pylist())
+                yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, keys)], names=[*batch.schema.names, "k1", "k2"])
 
     return run
 
@@ -130,8 +143,8 @@ class Index:
     def neighbours(self, query: np.ndarray) -> np.ndarray:
         """Unused documents, best first by BM25 for the query's terms; ties in the order of the block."""
         at = np.searchsorted(self.vocabulary, query)
-        at = at[(at < len(self.vocabulary))]
-        at = at[np.isin(self.vocabulary[at], query)]
+        at[at == len(self.vocabulary)] = 0
+        at = at[self.vocabulary[at] == query]
         sizes = self.ends[at] - self.begins[at]
         total = np.cumsum(sizes)
         rows = np.arange(total[-1] if len(total) else 0)
