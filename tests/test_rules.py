@@ -384,3 +384,32 @@ def test_calendar_and_content(make):
     ddl = "content_id string, title string, content_type string, genre string, language string, duration_sec int, is_premium boolean, publish_ts timestamp_ntz"
     rows = [("c", "old", "live", "g", "en", 1, True, "2024-01-01 00:00:00"), ("c", "new", "live", "g", "en", 1, True, "2024-01-02 00:00:00")]
     assert [r.title for r in dims.content_dim(make(ddl, rows), "2024-01-03 00:00:00").collect()] == ["new"]
+
+
+def test_ratio_at_any_size(spark):
+    """Against whole-number arithmetic: large denominators, ties, signs, nulls and zero."""
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from viewpulse.functions.exact import ratio
+
+    pairs = [
+        (1, 3), (5, 1000), (-5, 1000), (15, 1000), (10**14 + 1, 2 * 10**12), (-(10**15), 3 * 10**12), (7, 10**12), (10**13, 8 * 10**11),
+        (25, -1000), (0, 5), (3, 0), (None, 5), (5, None), (999999999999, 1000000000000), (10**17, 7),
+    ]
+    df = spark.createDataFrame(pairs, "num bigint, den bigint")
+    for digits in (0, 1, 2):
+        got = df.select("num", "den", ratio(F.col("num"), F.col("den"), digits).alias("r")).collect()
+        for num, den, r in got:
+            want = None if not den or num is None else (Decimal(num) / Decimal(den)).quantize(Decimal(1).scaleb(-digits), ROUND_HALF_UP)
+            assert r == want, (num, den, digits)
+
+
+def test_deviation_at_any_size(spark):
+    import math
+
+    from viewpulse.operators.score import deviation
+
+    rows = [(10**10, 55 * 10**10, 3300 * 10**10), (4, 10, 30), (1, 5, 25), (0, None, None)]
+    df = spark.createDataFrame(rows, "n bigint, s bigint, ss bigint")
+    got = [r[0] for r in df.select(deviation(F.col("n"), F.col("s"), F.col("ss"))).collect()]
+    assert math.isclose(got[0], math.sqrt(275), rel_tol=1e-6) and math.isclose(got[1], math.sqrt(5 / 3)) and got[2:] == [None, None]

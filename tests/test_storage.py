@@ -62,6 +62,42 @@ def test_no_staging_is_left(spark, staged, tmp_path):
     assert set(stage.iterdir()) == before
 
 
+def test_release_removes_what_queries_left(spark):
+    from viewpulse.plans.queries import all_queries
+
+    tables.release(spark)
+    stage = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(stage.iterdir())
+    assert all_queries()["scd2_history"](spark, "/root/testdata/sf0.001").count() > 0
+    assert set(stage.iterdir()) != before
+    tables.release(spark)
+    assert set(stage.iterdir()) == before
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Session:
+        class conf:
+            get = staticmethod(lambda name, default: None)
+
+        class sparkContext:
+            master, applicationId = "local-cluster[2,1,1024]", "app"
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        tables.stage_root(Session)
+    Session.sparkContext.master = "local[8]"
+    assert tables.stage_root(Session) == tables.stage_root(Session)
+
+
+def test_ranges_are_replaced_as_a_whole(spark, staged, tmp_path):
+    root = str(tmp_path)
+    days = lambda *ds: staged(*[(f"e{d}", f"2024-01-{d} 01:00:00", f"2024-01-{d} 02:00:00") for d in ds])
+    tables.overwrite(days(10, 11, 12, 13), root, STG_EVENTS)
+    tables.replace_range(days(11), root, STG_EVENTS, "2024-01-11", "2024-01-12")
+    assert tables.stored_dates(spark, root, STG_EVENTS) == ["2024-01-10", "2024-01-11", "2024-01-13"]
+    tables.replace_range(days(12), root, STG_EVENTS, "2024-01-11")
+    assert tables.stored_dates(spark, root, STG_EVENTS) == ["2024-01-10", "2024-01-12"]
+
+
 def test_replay_retention_layout_and_statistics(spark, staged, tmp_path):
     root = str(tmp_path)
     data = staged(*[(f"e{d}{i}", f"2024-01-{d} 01:00:00", f"2024-01-{d} 02:00:00") for d in (10, 11, 12) for i in range(3)])

@@ -119,6 +119,13 @@ def backfill_scores(daily: DataFrame, users: DataFrame, first: DateLike, last: D
     return rescore_range(daily, users, first, last).select(*_SCORE)
 
 
+def deviation(n: Column, s: Column, ss: Column) -> Column:
+    """Sample standard deviation from count, sum and sum of squares, whose products outgrow 64 bits."""
+    n, s, ss = (c.cast("decimal(38,0)") for c in (n, s, ss))
+    squares = (n * ss - s * s).cast("double")
+    return F.when(n > 1, F.sqrt(squares / F.nullif((n * (n - 1)).cast("double"), F.lit(0.0))))
+
+
 def score_validation(daily: DataFrame, users: DataFrame, as_of: DateLike) -> DataFrame:
     """Score statistics per plan from a week before `as_of` on."""
     recent = daily.filter(F.col("activity_date") >= day(back(as_of, 7))).select("user_id", "activity_date", "engagement_score")
@@ -139,10 +146,8 @@ def score_validation(daily: DataFrame, users: DataFrame, as_of: DateLike) -> Dat
         F.sum(F.col("ss").cast("decimal(38,0)")).alias("ss"),
         F.sum("n").alias("n"),
     )
-    # Products of sums over all rows of a plan outgrow 64 bits.
-    n, s, ss = (F.col(c).cast("decimal(38,0)") for c in ("n", "s", "ss"))
-    squares = (n * ss - s * s).cast("double")
-    spread = F.when(n > 1, F.sqrt(squares / F.nullif((n * (n - 1)).cast("double"), F.lit(0.0))))
+    n, s, ss = (F.col(c) for c in ("n", "s", "ss"))
+    spread = deviation(n, s, ss)
     return per_plan.select(
         "plan_segment",
         "users",
