@@ -12,7 +12,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -162,18 +162,20 @@ def _dates(df: DataFrame, column: str) -> list:
 
 
 def upsert_table(
-    source: DataFrame, root: str, table: Table, newer: str | None = None, match_days: int | None = None
+    source: DataFrame, root: str, table: Table, newer: str | None = None, match_days: int | None = None, is_settled: bool = False
 ) -> None:
     """Merge `source` into a stored table by its keys, creating it on first use.
 
     A key can move to another date. All dates are searched for it, reading only key columns; `match_days` limits the search
     to that many days around the source's dates where a key cannot be older. Only dates with a changed row are rewritten.
+    A source that is a table already (`is_settled`) is read again instead of being written to a staging table first.
     """
     spark = source.sparkSession
     if not exists(spark, root, table):
         overwrite(source, root, table)
         return
-    with settled(source.select(*table.columns)) as rows:
+    columns = source.select(*table.columns)
+    with nullcontext(columns) if is_settled else settled(columns) as rows:
         if table.partition:
             _merge_days(rows, root, table, newer, match_days)
         else:
@@ -249,5 +251,5 @@ def analyze(spark: SparkSession, name: str) -> None:
 
 
 def export_csv(report: DataFrame, path: str) -> None:
-    """A report as one CSV file with header. Reports are a row per segment or a top-n list."""
+    """A report as one CSV file with header, written by one task: for reports of a row per segment or a top-n list only."""
     report.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
