@@ -54,6 +54,8 @@ def _dropped(documents: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
         .filter(F.col("docs") >= min_docs)
         .select("h1", "h2", "holder")
     )
+    # A table of its own leaves the join free to split the lines of a hot hash among tasks.
+    frequent = settle(frequent)
     lost = lines.join(frequent, ["h1", "h2"]).filter(~F.col("doc_id").eqNullSafe(F.col("holder")))
     return lost.groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("gone"))
 
