@@ -38,7 +38,9 @@ SIMILAR_SHINGLE = 5
 SIMILARITY = 0.8
 RECALL = 0.98
 WIDE = 4
-PIVOTS = 4
+#: A block of up to so many nodes makes all its pairs, a larger one links each node to its pivots: about as many links a node.
+SIMILAR_PAIR_ROWS = 6
+PIVOTS = 2
 
 
 def fingerprint(text: bytes | None, words_per_shingle: int = SHINGLE) -> int:
@@ -246,7 +248,7 @@ def plan_tables(classes: int, similarity: float, recall: float) -> np.ndarray:
     return masks
 
 
-def candidates(classes: DataFrame, masks: np.ndarray, pair_rows: int = PAIR_ROWS) -> DataFrame:
+def candidates(classes: DataFrame, masks: np.ndarray, pair_rows: int = SIMILAR_PAIR_ROWS) -> DataFrame:
     """Distinct pairs (a < b) of nodes that share a block. A block of over `pair_rows` nodes is linked to `PIVOTS` of them."""
     blocks = in_arrow(classes.select("node", "wide"), _tables(masks), "t int, key long, node long")
     blocks = settle(blocks)
@@ -264,7 +266,7 @@ def candidates(classes: DataFrame, masks: np.ndarray, pair_rows: int = PAIR_ROWS
 
 
 def similar_documents(
-    documents: DataFrame, words_per_shingle: int = SIMILAR_SHINGLE, similarity: float = SIMILARITY, recall: float = RECALL, pair_rows: int = PAIR_ROWS
+    documents: DataFrame, words_per_shingle: int = SIMILAR_SHINGLE, similarity: float = SIMILARITY, recall: float = RECALL, pair_rows: int = SIMILAR_PAIR_ROWS
 ) -> DataFrame:
     """doc_id, text_hash, keeper, one row per document: near-duplicates by the Jaccard similarity of their word shingles.
 
