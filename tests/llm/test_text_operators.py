@@ -113,6 +113,25 @@ def test_similar_documents_against_all_pairs(spark):
         assert all(want[got[i]] == want[i] for i in want)
 
 
+def test_similar_pairs_in_a_crowd_of_template_pages(spark, monkeypatch):
+    """Pages alike by 0.6 to 0.7 crowd the blocks; pairs of 0.86 among them are found nevertheless, in one chunk or many."""
+    r = random.Random(21)
+    template = [f"t{k}" for k in range(160)]
+    rows = [(i, " ".join([*template, *[f"p{i}x{k}" for k in range(40)]])) for i in range(400)]
+    for i in range(50):
+        twin = rows[i][1].split()
+        twin[185 + r.randrange(5) : 200] = [f"q{i}x{k}" for k in range(12)]
+        rows.append((10_000 + i, " ".join(twin)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = brute.similar(rows)
+    assert sum(i != k for i, k in want.items()) == 50
+    for nodes in (512, 16):
+        monkeypatch.setattr(simhash, "CHUNK_NODES", nodes)
+        got = {x.doc_id: x.keeper.doc_id for x in simhash.similar_documents(docs).collect()}
+        assert sum(got[10_000 + i] == i for i in range(50)) >= 48
+        assert all(want[got[i]] == want[i] for i in want)
+
+
 def test_repetition_against_plain_counts(spark, given):
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
     out = {r.doc_id: r for r in queries.op7_repetition_rules(spark, SF).collect()}

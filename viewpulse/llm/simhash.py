@@ -38,9 +38,12 @@ SIMILAR_SHINGLE = 5
 SIMILARITY = 0.8
 RECALL = 0.98
 WIDE = 4
-#: A block of up to so many nodes makes all its pairs, a larger one links each node to its pivots: about as many links a node.
+#: A block of up to so many nodes makes all its pairs as rows. A larger one links each node to its pivots first; what these do
+#: not join is compared inside tasks, chunk against chunk, so that no pair of the block is left out and none becomes a row.
 SIMILAR_PAIR_ROWS = 6
 PIVOTS = 2
+CHUNK_NODES = 512
+CHUNK_BYTES = 8 << 20
 
 
 def fingerprint(text: bytes | None, words_per_shingle: int = SHINGLE) -> int:
@@ -248,8 +251,12 @@ def plan_tables(classes: int, similarity: float, recall: float) -> np.ndarray:
     return masks
 
 
-def candidates(classes: DataFrame, masks: np.ndarray, pair_rows: int = SIMILAR_PAIR_ROWS) -> DataFrame:
-    """Distinct pairs (a < b) of nodes that share a block. A block of over `pair_rows` nodes is linked to `PIVOTS` of them."""
+def candidates(classes: DataFrame, masks: np.ndarray, pair_rows: int = SIMILAR_PAIR_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs (a < b) of nodes that share a block, and the rows (t, key, node) of crowded blocks.
+
+    A block of over `pair_rows` nodes is crowded: its pairs are those with `PIVOTS` of its nodes, the others are for
+    `crowd_links`.
+    """
     blocks = in_arrow(classes.select("node", "wide"), _tables(masks), "t int, key long, node long")
     blocks = settle(blocks)
     met = settle(blocks.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("a"), F.max("node").alias("b")).filter("n > 1"))
@@ -257,12 +264,123 @@ def candidates(classes: DataFrame, masks: np.ndarray, pair_rows: int = SIMILAR_P
     small = more.filter(F.col("n") <= pair_rows).select("t", "key", "node")
     left, right = small.withColumnRenamed("node", "a"), small.withColumnRenamed("node", "b")
     some = left.join(right, ["t", "key"]).filter("a < b").select("a", "b")
-    crowded = more.filter(F.col("n") > pair_rows)
+    crowded = more.filter(F.col("n") > pair_rows).select("t", "key", "node")
     chosen = [F.min_by("node", F.xxhash64("node", "t", F.lit(i))).alias(f"p{i}") for i in range(PIVOTS)]
     pivots = settle(crowded.groupBy("t", "key").agg(*chosen).select("t", "key", F.array(*[f"p{i}" for i in range(PIVOTS)]).alias("pivots")))
     starred = crowded.join(pivots, ["t", "key"]).select("node", F.explode("pivots").alias("pivot")).filter("node <> pivot")
     starred = starred.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
-    return met.filter("n = 2").select("a", "b").unionByName(some).unionByName(starred).distinct()
+    return met.filter("n = 2").select("a", "b").unionByName(some).unionByName(starred).distinct(), crowded
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Runs of rows of one block and pair of chunks, from sorted batches."""
+    open_rows: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(c).to_numpy() for c in ("t", "key", "i", "j")])
+        cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+        for at, end in zip(cuts, cuts[1:], strict=False):
+            key = tuple(keys[:, at].tolist())
+            if key != last and open_rows:
+                yield pa.Table.from_batches(open_rows)
+                open_rows = []
+            last = key
+            open_rows.append(batch.slice(at, end - at))
+    if open_rows:
+        yield pa.Table.from_batches(open_rows)
+
+
+def _facing(group: pa.Table, max_bits: int) -> tuple[np.ndarray, Iterator[tuple[int, np.ndarray]]]:
+    """Root of each row, and row by row the later rows it is to be compared with: near enough, and of other chunks if there are two."""
+    wide = np.frombuffer(b"".join(group.column("wide").to_pylist()), np.uint64).reshape(-1, WIDE)
+    chunk, roots = group.column("chunk").to_numpy(), group.column("root").to_numpy().copy()
+    two = group.column("i")[0] != group.column("j")[0]
+
+    def rows() -> Iterator[tuple[int, np.ndarray]]:
+        for x in range(len(wide) - 1):
+            others = roots[x + 1 :] != roots[x]
+            if two:
+                others &= chunk[x + 1 :] != chunk[x]
+            others = np.flatnonzero(others) + x + 1
+            if len(others):
+                yield x, others[np.bitwise_count(wide[others] ^ wide[x]).sum(axis=1) <= max_bits]
+
+    return roots, rows()
+
+
+def _live(max_bits: int):
+    """t, key, node of the nodes that are near enough to a node of another root in their block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            live = np.zeros(group.num_rows, bool)
+            for x, others in _facing(group, max_bits)[1]:
+                live[others] = True
+                live[x] |= len(others) > 0
+            if live.any():
+                yield from group.select(["t", "key", "node"]).filter(pa.array(live)).combine_chunks().to_batches()
+
+    return run
+
+
+def _joined(max_bits: int, similarity: float):
+    """Links that join what is similar in a group: no link between rows that are joined already."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            grams = [np.frombuffer(g, np.uint64) for g in group.column("grams").to_pylist()]
+            nodes, sizes = group.column("node").to_numpy(), np.array([len(g) for g in grams])
+            ids = np.split(np.unique(np.concatenate(grams), return_inverse=True)[1], np.cumsum(sizes)[:-1])
+            mark = np.zeros(sizes.sum() + 1, bool)
+            found: list[tuple[int, int]] = []
+            roots, facing = _facing(group, max_bits)
+            for x, others in facing:
+                least, most = np.minimum(sizes[others], sizes[x]), np.maximum(sizes[others], sizes[x])
+                others = others[(least >= similarity * most) & (least > 0)]
+                if not len(others):
+                    continue
+                mark[ids[x]] = True
+                shared = np.add.reduceat(mark[np.concatenate([ids[y] for y in others])], np.cumsum(sizes[others]) - sizes[others], dtype=np.int64)
+                mark[ids[x]] = False
+                for y in others[shared >= similarity * (sizes[x] + sizes[others] - shared)].tolist():
+                    if roots[y] != roots[x]:
+                        found.append((int(nodes[x]), int(nodes[y])))
+                        roots[roots == roots[y]] = roots[x]
+            columns = zip(*found, strict=True) if found else [[]] * 2
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], names=["a", "b"])
+
+    return run
+
+
+def _chunked(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Rows of blocks once for each pair of chunks (i <= j) that their chunk is in, sorted. `sizes`: t, key, chunks."""
+    dealt = rows.join(sizes, ["t", "key"]).withColumn("chunk", F.pmod(F.xxhash64("node", "t"), "chunks"))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    met = met.withColumn("i", F.least("chunk", "other")).withColumn("j", F.greatest("chunk", "other")).drop("chunks", "other")
+    return met.repartition("t", "key", "i", "j").sortWithinPartitions("t", "key", "i", "j")
+
+
+def crowd_links(crowded: DataFrame, roots: DataFrame, wide: DataFrame, grams_of, max_bits: int, similarity: float) -> DataFrame | None:
+    """Links (a, b) between similar nodes of crowded blocks whose `roots` (node, root) differ; None if no two are near enough.
+
+    Every such pair of a block is compared. A block is cut into chunks of bounded size, each pair of chunks is one group of
+    rows, and pairs exist only inside a task: first by fingerprint, then, of the nodes left, by their shingles.
+    `grams_of(nodes)` gives node, grams.
+    """
+    rooted = crowded.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    sizes = rooted.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
+    sizes = sizes.select("t", "key", F.ceil(F.col("n") / CHUNK_NODES).alias("chunks"))
+    rows = _chunked(settle(rooted.join(wide, "node")), settle(sizes))
+    live = settle(in_arrow(rows, _live(max_bits), "t int, key long, node long").distinct())
+    if live.isEmpty():
+        return None
+    grams = settle(grams_of(live.select("node").distinct()))
+    left = live.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).join(wide, "node").join(grams, "node")
+    size = F.greatest(F.count(F.lit(1)) / CHUNK_NODES, F.sum(F.length("grams")) / CHUNK_BYTES)
+    sizes = live.join(grams, "node").groupBy("t", "key").agg(F.greatest(F.ceil(size), F.lit(1)).alias("chunks"))
+    return in_arrow(_chunked(left, settle(sizes)), _joined(max_bits, similarity), "a long, b long")
 
 
 def similar_documents(
@@ -272,7 +390,7 @@ def similar_documents(
 
     Two bits apart are only the closest copies: at a similarity of 0.8 a seventh of all bits differ. So fingerprints are
     wide, blocks are choices of their bits, pairs that share a block are verified by Hamming distance and then by the exact
-    similarity of the two texts. Awkward rows are treated as in `near_duplicates`; texts without words are copies of each
+    similarity of the two texts. All pairs of a block are, unless links have joined the two by then. Awkward rows are treated as in `near_duplicates`; texts without words are copies of each
     other.
     """
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), F.col("text"))
@@ -281,17 +399,25 @@ def similar_documents(
     classes = settle(marked.groupBy("node").agg(first.alias("first"), F.min("wide").alias("wide")))
     masks = plan_tables(classes.count(), similarity, recall)
     wide = classes.select("node", "wide")
-    pairs = candidates(classes, masks, pair_rows)
+    pairs, crowded = candidates(classes, masks, pair_rows)
     pairs = pairs.join(wide.toDF("a", "wide_a"), "a").join(wide.toDF("b", "wide_b"), "b")
     differ = np.arccos(2 * similarity / (1 + similarity)) / np.pi * WIDE * BITS
-    near = settle(in_arrow(pairs, _near_enough(int(differ + 3 * np.sqrt(differ))), "a long, b long"))
-    nodes = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = classes.join(nodes, "node").select("node", F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
-    grams = in_arrow(rows.join(wanted, same).select("node", "text"), _grams(words_per_shingle), "node long, grams binary")
-    grams = settle(grams.groupBy("node").agg(F.min("grams").alias("grams")))
+    max_bits = int(differ + 3 * np.sqrt(differ))
+    near = settle(in_arrow(pairs, _near_enough(max_bits), "a long, b long"))
+
+    def grams_of(nodes: DataFrame) -> DataFrame:
+        wanted = classes.join(nodes, "node").select("node", F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash"))
+        same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+        grams = in_arrow(rows.join(wanted, same).select("node", "text"), _grams(words_per_shingle), "node long, grams binary")
+        return grams.groupBy("node").agg(F.min("grams").alias("grams"))
+
+    grams = settle(grams_of(near.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
     checked = near.join(grams.toDF("a", "grams_a"), "a").join(grams.toDF("b", "grams_b"), "b")
-    found = components(in_arrow(checked, _similar(similarity), "a long, b long"))
+    links = settle(in_arrow(checked, _similar(similarity), "a long, b long"))
+    found = components(links)
+    more = crowd_links(crowded, found, wide, grams_of, max_bits, similarity)
+    if more is not None:
+        found = components(links.unionByName(more))
     labelled = classes.join(found, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     keepers = labelled.groupBy("root").agg(F.min("first").alias("keeper"))
     of_class = settle(labelled.join(keepers, "root").select("node", F.struct("keeper.doc_id", "keeper.text_hash").alias("keeper")))
