@@ -128,6 +128,36 @@ def test_packing_joins_related_documents(spark):
     assert same > 0.85 * len(pieces)
 
 
+def test_packing_finds_beyond_512_documents(spark):
+    """Documents of a topic whose heaviest terms differ lie far apart in a shard's order; a window's seed still finds them."""
+    words = sorted(t[1:] for t in Tokenizer.from_file(BYTE).get_vocab() if t.startswith("Ġ") and t[1:].isascii() and t[1:].isalpha() and t[1:].islower() and len(t) > 4)
+    r = random.Random(8)
+    r.shuffle(words)
+    topics, own = [words[k * 30 : k * 30 + 30] for k in range(80)], words[2400:]
+    rows = [(i, " ".join(["", *[own[i]] * 30, *r.sample(topics[i % 80], 28)])) for i in range(80 * 18)]
+    pieces = packing.pack_documents(spark.createDataFrame(rows, "doc_id bigint, text string"), BYTE).collect()
+    packed_rows(pieces)
+    covered(pieces, dict(zip([i for i, _ in rows], library(BYTE, [t for _, t in rows]), strict=True)))
+    by: dict[int, list[int]] = {}
+    for p in pieces:
+        by.setdefault(p.sequence_id, []).append(p.doc_id % 80)
+    same = sum(max(t.count(k) for k in t) for t in by.values())
+    assert same > 0.75 * len(pieces), same / len(pieces)
+
+
+def test_packing_gives_leftovers_a_second_round():
+    """What finds nothing related in its shard is given back whole, and packed with anything in the last round."""
+    corpus = packing.Corpus(np.array([0.1, 2, 2, 2, 2, 2]), 100.0)
+    terms = [np.array(t, np.uint16) for t in ([0, 1], [0, 1], [0, 2], [0, 3])]
+    docs = [packing.Document(i, 60, np.full(60, i, np.uint16), t, np.ones(2, np.uint16)) for i, t in enumerate(terms)]
+    windows = packing.Windows(0, 100)
+    left = windows.block(corpus, docs, last=False)
+    assert {p[0] for p in windows.pieces} == {0, 1} and sum(p[2] for p in windows.pieces) == 100
+    assert sorted((d.doc_id, len(d.tail)) for d in left) == [(1, 20), (2, 60), (3, 60)]
+    last = packing.Windows(1, 100)
+    assert last.block(corpus, left, last=True) == [] and sum(p[2] for p in last.pieces) == 140
+
+
 def test_index_ranks_by_bm25():
     docs = [np.array(t, np.uint16) for t in ([1, 2, 3], [2, 4], [5], [1, 2])]
     counts = [np.array(c, np.uint16) for c in ([1, 1, 4], [2, 1], [3], [1, 1])]

@@ -2,9 +2,11 @@
 
 Every document's whole windows stand alone; what is left of it, its tail, shares a window. Terms are token ids, so document
 frequencies over the whole corpus fit into one bounded array. Documents are range-partitioned by their most telling terms,
-which brings related ones together and splits any crowd of them by a hash. Inside a partition, blocks of `BLOCK_DOCS`
-documents get a BM25 inverted index each: the window's seed is the query, its best unused neighbours fill the window in
-turn, the one that does not fit is cut, and its rest seeds the next window. Only a partition's last window is padded.
+which brings related ones together and splits any crowd of them by a hash. A partition, bounded by its postings, gets one
+BM25 inverted index: the window's seed is the query, its best unused neighbours fill the window in turn, the one that does
+not fit is cut, and its rest seeds the next window. Related is what shares a term with the seed that less than half of the
+corpus has. A window that runs out of related documents is undone: its tails are partitioned again by their next telling
+terms and only there, when nothing related is left once more, unrelated ones fill up. Only a last window is padded.
 
 Tokenizing happens once; its result (tails, terms and checksums, no texts) is written to shared storage.
 """
@@ -27,13 +29,18 @@ from viewpulse.sources.tables import settle
 
 WINDOW = 1024
 END_ID = 0
-BLOCK_DOCS = 512
-SHARD_TOKENS = 1_000_000
+#: Postings (distinct terms of documents) of a shard. Ranges are cut by sampling; an index never holds over twice as many.
+SHARD_POSTINGS = 1 << 20
+#: Neighbours sorted at a time; a window that takes more of them asks again.
+NEAREST = 64
+#: Partition number from which on the second round counts its windows.
+SECOND = 1 << 20
 KEYED_ROWS = 2000
 K1, B = 1.2, 0.75
 
 _TOKENS = "doc_id long, doc_tokens long, sums array<long>, tail binary, terms binary, counts binary"
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+_LEFT = "tail binary, terms binary, counts binary"
 
 
 def crc(ids: np.ndarray) -> int:
@@ -66,16 +73,15 @@ def _tokenize(path: str, window: int, end_id: int):
 
 
 def _frequencies(size: int):
-    """Per task: documents by term; at `size` the documents, behind it their tokens and those in tails."""
+    """Per task: documents by term; at `size` the documents, behind it their tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = np.zeros(size + 3, np.int64)
+        found = np.zeros(size + 2, np.int64)
         for batch in batches:
             terms = np.frombuffer(b"".join(batch.column("terms").to_pylist()), "<u2")
             found[:size] += np.bincount(terms, minlength=size)
             found[size] += batch.num_rows
             found[size + 1] += sum(batch.column("doc_tokens").to_pylist())
-            found[size + 2] += sum(map(len, batch.column("tail").to_pylist())) // 2
         at = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(found[at])], names=["term", "n"])
 
@@ -89,6 +95,11 @@ class Corpus:
     idf: np.ndarray
     mean_tokens: float
 
+    @property
+    def telling(self) -> np.ndarray:
+        """Terms that less than half of the documents have: those of positive weight in BM25 as first published."""
+        return self.idf > np.log(2)
+
     def weights(self, terms: np.ndarray, counts: np.ndarray, tokens: np.ndarray | int) -> np.ndarray:
         return self.idf[terms] * counts * (K1 + 1) / (counts + K1 * (1 - B + B * tokens / self.mean_tokens))
 
@@ -97,37 +108,37 @@ def _numbers(values: list[bytes]) -> list[np.ndarray]:
     return [np.frombuffer(v, "<u2") for v in values]
 
 
-def _telling(corpus: Corpus, terms: list[np.ndarray], counts: list[np.ndarray], tokens: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """The two terms of the largest weight of each document, ties to smaller terms; 0 if there is no second."""
+def _telling(corpus: Corpus, terms: list[np.ndarray], counts: list[np.ndarray], tokens: list[int], after: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """The two terms of the largest weight of each document behind the first `after`, ties to smaller terms; 0 if there is none."""
     sizes = np.array([len(t) for t in terms])
     starts = np.cumsum(sizes) - sizes
     flat = np.concatenate(terms)
     w = corpus.weights(flat, np.concatenate(counts).astype(np.float64), np.repeat(np.array(tokens), sizes))
     found = []
-    for _ in range(2):
+    for _ in range(after + 2):
         top = np.flatnonzero(w == np.repeat(np.maximum.reduceat(w, starts), sizes))
         at = top[np.searchsorted(top, starts)]
         found.append(np.where(w[at] > -np.inf, flat[at], 0).astype(np.int32))
         w[at] = -np.inf
-    return found[0], found[1]
+    return found[-2], found[-1]
 
 
-def _keyed(shared):
-    """Adds the two most telling terms of each document. Every document has a term, its end id."""
+def _keyed(shared, after: int):
+    """Adds the two most telling terms of each document behind the first `after`. Every document has a term, its end id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, KEYED_ROWS):
                 batch = whole.slice(at, KEYED_ROWS)
                 terms, counts = (_numbers(batch.column(c).to_pylist()) for c in ("terms", "counts"))
-                keys = _telling(shared.value, terms, counts, batch.column("doc_tokens").to_pylist())
+                keys = _telling(shared.value, terms, counts, batch.column("doc_tokens").to_pylist(), after)
                 yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, keys)], names=[*batch.schema.names, "k1", "k2"])
 
     return run
 
 
 class Index:
-    """Inverted index of one block of documents."""
+    """Inverted index of the documents of one shard."""
 
     def __init__(self, corpus: Corpus, terms: list[np.ndarray], counts: list[np.ndarray], tokens: list[int]):
         sizes = np.array([len(t) for t in terms])
@@ -139,18 +150,38 @@ class Index:
         self.vocabulary, self.begins = np.unique(flat[order], return_index=True)
         self.ends = np.append(self.begins[1:], len(flat))
         self.unused = np.ones(len(terms), bool)
-
-    def neighbours(self, query: np.ndarray) -> np.ndarray:
-        """Unused documents, best first by BM25 for the query's terms; ties in the order of the block."""
+        self.telling = corpus.telling[self.vocabulary]
+        self.held = len(terms)
+
+    def shrink(self) -> None:
+        """Drop the postings of used documents once these are half of those in the index."""
+        left = int(self.unused.sum())
+        if left * 2 > self.held:
+            return
+        keep = self.unused[self.docs]
+        before = np.concatenate([[0], np.cumsum(keep)])
+        self.begins, self.ends = before[self.begins], before[self.ends]
+        self.docs, self.w, self.held = self.docs[keep], self.w[keep], left
+
+    def neighbours(self, query: np.ndarray, related: bool = False, most: int | None = None) -> np.ndarray:
+        """Unused documents, best first by BM25 for the query's terms; ties in the order of the shard. `related`: only those
+        that share a telling term with the query. `most`: so many at least, if there are."""
         at = np.searchsorted(self.vocabulary, query)
         at[at == len(self.vocabulary)] = 0
         at = at[self.vocabulary[at] == query]
-        sizes = self.ends[at] - self.begins[at]
-        total = np.cumsum(sizes)
-        rows = np.arange(total[-1] if len(total) else 0)
-        rows += np.repeat(self.begins[at] - (total - sizes), sizes)
-        scores = np.bincount(self.docs[rows], self.w[rows], len(self.unused))
-        left = np.flatnonzero(self.unused)
+        # Telling terms come first, so that their postings are the first ones.
+        at = np.concatenate([at[self.telling[at]], at[~self.telling[at]]])
+        spans = list(zip(self.begins[at].tolist(), self.ends[at].tolist(), strict=True))
+        docs = np.concatenate([self.docs[a:b] for a, b in spans]) if spans else self.docs[:0]
+        w = np.concatenate([self.w[a:b] for a, b in spans]) if spans else self.w[:0]
+        scores = np.bincount(docs, w, len(self.unused))
+        wanted = self.unused
+        if related:
+            telling = sum(b - a for a, b in spans[: int(self.telling[at].sum())])
+            wanted = wanted & (np.bincount(docs[:telling], minlength=len(self.unused)) > 0)
+        left = np.flatnonzero(wanted)
+        if most is not None and len(left) > most:
+            left = left[scores[left] >= np.partition(scores[left], -most)[-most]]
         return left[np.argsort(-scores[left], kind="stable")]
 
 
@@ -160,6 +191,7 @@ class Document:
     tokens: int
     tail: np.ndarray
     terms: np.ndarray
+    counts: np.ndarray
 
 
 class Windows:
@@ -169,6 +201,7 @@ class Windows:
         self.next_id, self.window = part << 32, window
         self.filled, self.pieces = 0, []
         self.seed: np.ndarray | None = None
+        self.members: list[tuple[Document, int]] = []
 
     def whole(self, doc_id: int | None, tokens: int, sums: list[int]) -> None:
         for k, s in enumerate(sums):
@@ -182,7 +215,8 @@ class Windows:
         while at < len(doc.tail):
             if not self.filled:
                 self.open_id, self.next_id = self.next_id, self.next_id + 1
-                self.seed = doc.terms
+                self.seed, self.members, self.opened = doc.terms, [], len(self.pieces)
+            self.members.append((doc, at))
             take = min(len(doc.tail) - at, self.window - self.filled)
             start = doc.tokens - len(doc.tail) + at
             self.pieces.append((doc.doc_id, start, take, crc(doc.tail[at : at + take]), doc.tokens, self.open_id, self.filled))
@@ -192,9 +226,18 @@ class Windows:
                 self.filled, closed = 0, True
         return closed
 
-    def block(self, corpus: Corpus, docs: list[Document], counts: list[np.ndarray]) -> None:
-        index = Index(corpus, [d.terms for d in docs], counts, [d.tokens for d in docs])
-        following = 0
+    def undo(self) -> list[Document]:
+        """Take the open window back; its documents, as far as they are not in closed windows."""
+        if not self.filled:
+            return []
+        del self.pieces[self.opened :]
+        self.filled = 0
+        return [Document(d.doc_id, d.tokens, d.tail[at:], d.terms, d.counts) for d, at in self.members]
+
+    def block(self, corpus: Corpus, docs: list[Document], last: bool) -> list[Document]:
+        """Pack documents. Unless it is the `last` round, those of windows that related ones do not fill are given back."""
+        index = Index(corpus, [d.terms for d in docs], [d.counts for d in docs], [d.tokens for d in docs])
+        following, given_back = 0, []
         while index.unused.any():
             if not self.filled:
                 while not index.unused[following]:
@@ -202,51 +245,59 @@ class Windows:
                 index.unused[following] = False
                 self.place(docs[following])
                 continue
-            for i in index.neighbours(self.seed):
+            index.shrink()
+            found = index.neighbours(self.seed, related=True, most=NEAREST)
+            if not len(found) and not last:
+                given_back += self.undo()
+                continue
+            for i in found if len(found) else index.neighbours(self.seed, most=NEAREST):
                 index.unused[i] = False
                 if self.place(docs[i]):
                     break
-
-    def flush(self) -> pa.RecordBatch:
-        columns = zip(*self.pieces, strict=True) if self.pieces else [[]] * 7
-        names = [c.split()[0] for c in _PIECES.split(", ")]
-        out = pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], names=names)
+        return given_back if last else given_back + self.undo()
+
+    def flush(self, given_back: list[Document]) -> pa.RecordBatch:
+        """Pieces, and behind them what is given back, with its tail."""
+        names = [c.split()[0] for c in f"{_PIECES}, {_LEFT}".split(", ")]
+        rows = [(*p, None, None, None) for p in self.pieces]
+        for d in given_back:
+            rows.append((d.doc_id, *[None] * 3, d.tokens, *[None] * 2, *[x.astype("<u2").tobytes() for x in (d.tail, d.terms, d.counts)]))
+        columns = zip(*rows, strict=True) if rows else [[]] * 10
+        kinds = [*[pa.int64()] * 7, *[pa.binary()] * 3]
+        out = pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=names)
         self.pieces = []
         return out
 
 
-def _pack(shared, window: int, block_docs: int):
+def _pack(shared, window: int, postings: int, block_docs: int | None, last: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        corpus, windows = shared.value, Windows(TaskContext.get().partitionId(), window)
+        corpus, windows = shared.value, Windows(TaskContext.get().partitionId() + SECOND * last, window)
         docs: list[Document] = []
-        counts: list[np.ndarray] = []
+        held = 0
         for batch in batches:
             terms, tails, found = (_numbers(batch.column(c).to_pylist()) for c in ("terms", "tail", "counts"))
             keys = (batch.column(c).to_pylist() for c in ("doc_id", "doc_tokens", "sums"))
             for doc_id, tokens, sums, t, tail, n in zip(*keys, terms, tails, found, strict=True):
                 windows.whole(doc_id, tokens, sums)
                 if len(tail):
-                    docs.append(Document(doc_id, tokens, tail, t))
-                    counts.append(n)
-                if len(docs) == block_docs:
-                    windows.block(corpus, docs, counts)
-                    docs, counts = [], []
-                    yield windows.flush()
-        if docs:
-            windows.block(corpus, docs, counts)
-        yield windows.flush()
+                    docs.append(Document(doc_id, tokens, tail, t, n))
+                    held += len(t)
+                if held >= 2 * postings or (block_docs and len(docs) == block_docs):
+                    yield windows.flush(windows.block(corpus, docs, last))
+                    docs, held = [], 0
+        yield windows.flush(windows.block(corpus, docs, last) if docs else [])
 
     return run
 
 
 def pack_documents(
-    documents: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID, block_docs: int = BLOCK_DOCS, shard_tokens: int = SHARD_TOKENS
+    documents: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID, block_docs: int | None = None, shard_postings: int = SHARD_POSTINGS
 ) -> DataFrame:
     """Pieces of all documents: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     A document is its ids by the tokenizer file at `path` (up to 65,536 ids) and `end_id`; each id lies in one piece. A null
     or empty text has only the end id. Rows without `doc_id` and repeated rows are documents of their own. Other columns are
-    ignored; an empty table gives no rows.
+    ignored; an empty table gives no rows. `block_docs`: documents of an index, if not all of a shard.
     """
     spark = documents.sparkSession
     size = library_encoder(path).tokenizer.get_vocab_size()
@@ -254,15 +305,24 @@ def pack_documents(
         raise ValueError("ids are kept in 16 bits")
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     tokens = settle(in_arrow(rows, _tokenize(path, window, end_id), _TOKENS))
-    counted = in_arrow(tokens.select("terms", "doc_tokens", "tail"), _frequencies(size), "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    found = np.zeros(size + 3, np.int64)
+    counted = in_arrow(tokens.select("terms", "doc_tokens"), _frequencies(size), "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    found = np.zeros(size + 2, np.int64)
     for term, n in counted.collect():  # at most one row for each id of the vocabulary
         found[term] = n
-    docs, total, in_tails = found[size:].tolist()
+    docs, total = found[size : size + 2].tolist()
     idf = np.log1p((docs - found[:size] + 0.5) / (found[:size] + 0.5))
     shared = spark.sparkContext.broadcast(Corpus(idf, max(total, 1) / max(docs, 1)))
-    schema = f"{_TOKENS}, k1 int, k2 int"
     order = [F.col("k1"), F.col("k2"), F.xxhash64("tail", "doc_id"), F.col("doc_id")]
-    keyed = in_arrow(tokens, _keyed(shared), schema)
-    shards = keyed.repartitionByRange(max(1, -(-in_tails // shard_tokens)), *order).sortWithinPartitions(*order)
-    return in_arrow(shards, _pack(shared, window, block_docs), _PIECES)
+
+    def packed(rows: DataFrame, postings: int, last: bool) -> DataFrame:
+        # What is given back has been with those that share its first two telling terms.
+        keyed = in_arrow(rows, _keyed(shared, 2 * last), f"{_TOKENS}, k1 int, k2 int")
+        shards = keyed.repartitionByRange(max(1, -(-postings // shard_postings)), *order).sortWithinPartitions(*order)
+        return in_arrow(shards, _pack(shared, window, shard_postings, block_docs, last), f"{_PIECES}, {_LEFT}")
+
+    first = settle(packed(tokens, int(found[:size].sum()), False))
+    left = first.filter("tail IS NOT NULL").selectExpr("doc_id", "doc_tokens", "CAST(array() AS array<long>) AS sums", "tail", "terms", "counts")
+    postings = left.agg(F.sum(F.length("terms"))).first()[0] or 0
+    second = packed(left, postings // 2, True)
+    names = [c.split()[0] for c in _PIECES.split(", ")]
+    return first.filter("tail IS NULL").select(names).unionByName(second.select(names))
