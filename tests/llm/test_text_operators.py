@@ -199,6 +199,13 @@ def test_what_is_no_expression(text):
     assert licenses.parse_expression(text) is None
 
 
+def test_expressions_are_kept_whole_and_without_prose(spark):
+    long = "( " + " OR ".join(f"( L-{k}.0 AND MIT )" for k in range(60)) + " )"
+    docs = spark.createDataFrame([(1, f"SPDX-License-Identifier: {long} */ int x;\n// spdx-license-identifier: (MIT OR ISC) see the file COPYING\n# SPDX-License-Identifier: Zlib. More")], "doc_id bigint, text string")
+    (row,) = licenses.scan_licenses(docs).collect()
+    assert row.expressions == [long, "( MIT OR ISC )", "Zlib"]
+
+
 def test_licences_of_awkward_rows(spark, given):
     docs = brute.awkward_documents(spark)
     assert licenses.scan_licenses(docs).count() == docs.count()

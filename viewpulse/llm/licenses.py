@@ -53,10 +53,12 @@ _STRENGTH = {"or": 1, "and": 2, "with": 3}
 
 @dataclass
 class Expression:
-    """Value of a licence expression: the identifiers in it, and whether one can comply with permissive terms only."""
+    """Value of a licence expression: the identifiers in it, whether one can comply with permissive terms only, and its own
+    words, as written."""
 
     ids: list[str] = field(default_factory=list)
     permissive: bool = False
+    words: list[str] = field(default_factory=list)
 
 
 def _identifier(name: str) -> Expression:
@@ -85,14 +87,17 @@ def parse_expression(text: str) -> Expression | None:
         out.append(_apply(op, a, b))
 
     operand_next = True
-    for token in _TOKEN.findall(text.lower()):
+    words: list[str] = []
+    for written in _TOKEN.findall(text):
+        token = written.lower()
         if operand_next:
             if token == "(":
                 ops.append(token)
             elif token in _STRENGTH or token == ")":
                 return None
             else:
-                out.append(_identifier(token.rstrip(".:") or token))
+                written = written.rstrip(".:") or written
+                out.append(_identifier(written.lower()))
                 operand_next = False
         elif token == ")":
             while ops and ops[-1] != "(":
@@ -107,11 +112,12 @@ def parse_expression(text: str) -> Expression | None:
             operand_next = True
         else:
             break
+        words.append(written)
     if operand_next or "(" in ops:
         return None
     while ops:
         reduce_top()
-    return out[0]
+    return Expression(out[0].ids, out[0].permissive, words)
 
 
 @cache
@@ -168,7 +174,7 @@ def scan_text(text: bytes | None) -> Scan:
             value = parse_expression(m[1])
             if value:
                 scan.labels.update(f"spdx:{i}" for i in value.ids)
-                scan.expressions.append(" ".join(_TOKEN.findall(m[1])[:64]))
+                scan.expressions.append(" ".join(value.words))
                 scan.permissive = value.permissive if scan.permissive is None else scan.permissive and value.permissive
                 scan.score = 1.0
     return scan
