@@ -58,6 +58,25 @@ def test_style_tree_cuts_what_a_site_repeats(spark):
     assert found[203].startswith("Box\n\n")
 
 
+def test_text_outside_of_articles_stays(spark):
+    """An <article> that is a teaser or an introduction, or a <main> with a part of the text, does not stand for the page."""
+    def body(i: int) -> str:
+        return f"<div class='story'><h1>Title {i}</h1><p>Text {i} of the page.</p><p>More {i}.</p></div>"
+
+    def intro(i: int) -> str:
+        return f"<article><h1>Title {i}</h1><p>Intro {i}.</p></article><div class='rest'><p>Text {i} of the page.</p></div>"
+
+    rows = [(i, f"http://a.org/{i}", f"<body><article class='card'><p>Read our offer</p></article>{body(i)}</body>") for i in range(8)]
+    rows += [(100 + i, f"http://b.org/{i}", f"<body>{intro(i)}</body>") for i in range(8)]
+    rows += [(200 + i, f"http://c.org/{i}", f"<body><main><p>Lead {i}</p></main>{body(i)}</body>") for i in range(8)]
+    rows.append((300, "http://d.org/", f"<body><main>{body(1)}<article class='card'><p>Offer</p></article></main></body>"))
+    found = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert found[3] == "Title 3\n\nText 3 of the page.\n\nMore 3."
+    assert found[103] == "Title 3\n\nIntro 3.\n\nText 3 of the page."
+    assert found[203] == "Lead 3\n\nTitle 3\n\nText 3 of the page.\n\nMore 3."
+    assert found[300] == "Title 1\n\nText 1 of the page.\n\nMore 1.\n\nOffer"
+
+
 def test_importance_is_relative_entropy(spark):
     rows = [("h", t, 7, c, s) for t, (c, s) in enumerate([(1, 5), (1, 5), (2, 5), (3, 6)])]
     nodes = spark.createDataFrame(rows, "host string, text bigint, path bigint, content bigint, shape bigint")

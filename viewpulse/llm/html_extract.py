@@ -7,7 +7,8 @@ article. Branches of low importance are cut from each page; copies of a page cou
 
 Entropy alone keeps what differs from page to page without being the article (menus with links by topic, rotating adverts),
 and small sites give it too little to go by. So elements that say by name, role or class that they are menus, notices,
-adverts, comments and the like are cut first, and only what is left is judged.
+adverts, comments and the like are cut first, and only what is left is judged. All that survives is the text: pages put
+theirs in any element, and an <article> may be a teaser or an introduction.
 
 Counts travel as hashes. A host may have any number of pages: style nodes are counted by (host, node, value) with partial
 sums, and a page meets the nodes it loses in a join by (host, node), which adaptive execution can split.
@@ -231,19 +232,10 @@ def blocks(root: Node) -> list[str]:
     return out
 
 
-def _articles(root: Node) -> list[Node]:
-    """The outermost articles, else the outermost main elements, else the page."""
-    for wanted in (("article",), ("main",)):
-        found = [n for n, _ in elements(root) if n.tag in wanted and not _within(n, set(wanted))]
-        if any(blocks(n) for n in found):
-            return found
-    return [root]
-
-
 def main_text(html: str | None, low: set[int] | frozenset[int] = frozenset()) -> str:
     root = parse(html)
     prune(root, low)
-    return "\n\n".join(b for n in _articles(root) for b in blocks(n))
+    return "\n\n".join(blocks(root))
 
 
 def _hash(text: str) -> int:
@@ -315,7 +307,7 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_importance: float
     """page_id, url, text, n_chars of every page, in one row each.
 
     Style nodes of fewer than `min_pages` different pages, and pages without a host, are not judged by entropy. Null or empty
-    html, or html without an article's text, gives "". Rows without `page_id` and repeated rows each get their row. Broken
+    html, or html without a text that survives, gives "". Rows without `page_id` and repeated rows each get their row. Broken
     markup is read as browsers would in the main; text is never cut short. Other columns are ignored; an empty table gives no
     rows.
     """
