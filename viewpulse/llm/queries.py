@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators: each applies one, with production parameters, to its whole table."""
+"""Registered queries of the operators: each applies one, with production parameters, to its whole table."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewpulse.llm import ann, bpe, html_extract, licenses, line_dedup, packing, repetition, simhash, token_files, toxicity
+from viewpulse.llm import ann, bpe, html_extract, licenses, line_dedup, merkle, packing, repetition, simhash, token_files, toxicity
 from viewpulse.sources.tables import scratch
 
 
@@ -69,4 +69,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_style_tree, op3_bpe, op4_packing, op5_license_scan, op6_token_files, op7_repetition_rules, op8_hilbert_ann, op9_simhash, op10_line_dedup)}
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_toxicity, op2_style_tree, op3_bpe, op4_packing, op5_license_scan, op6_token_files, op7_repetition_rules,
+        op8_hilbert_ann, op9_simhash, op10_line_dedup, op13_merkle,
+    )
+}
