@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewpulse.llm import ann, bpe, html_extract, licenses, line_dedup, merkle, packing, repetition, simhash, token_files, toxicity
+from viewpulse.llm import ann, bpe, html_extract, licenses, line_dedup, merkle, packing, repetition, simhash, token_files, toxicity, transducer
 from viewpulse.sources.tables import scratch
 
 
@@ -69,6 +69,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transducer.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(_table(spark, sf_dir, "documents"))
 
@@ -77,6 +81,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_style_tree, op3_bpe, op4_packing, op5_license_scan, op6_token_files, op7_repetition_rules,
-        op8_hilbert_ann, op9_simhash, op10_line_dedup, op13_merkle,
+        op8_hilbert_ann, op9_simhash, op10_line_dedup, op11_token_counts, op13_merkle,
     )
 }
