@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewpulse.llm import ann, bpe, html_extract, licenses, line_dedup, merkle, packing, repetition, simhash, token_files, toxicity, transducer
+from viewpulse.llm import alignment, ann, bpe, html_extract, licenses, line_dedup, merkle, packing, repetition, simhash, token_files, toxicity, transducer
 from viewpulse.sources.tables import scratch
 
 
@@ -73,6 +73,12 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transducer.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align(_table(spark, sf_dir, "documents"), *files, carry={"groups_sha256": digest})
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(_table(spark, sf_dir, "documents"))
 
@@ -81,6 +87,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_style_tree, op3_bpe, op4_packing, op5_license_scan, op6_token_files, op7_repetition_rules,
-        op8_hilbert_ann, op9_simhash, op10_line_dedup, op11_token_counts, op13_merkle,
+        op8_hilbert_ann, op9_simhash, op10_line_dedup, op11_token_counts, op12_alignment, op13_merkle,
     )
 }
