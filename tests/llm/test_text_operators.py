@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 
 import brute
@@ -11,6 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from viewpulse.llm import licenses, line_dedup, oracles, queries, repetition, simhash, toxicity
 
 SF = "/root/testdata/sf0.001"
@@ -48,6 +50,23 @@ def test_lines_only_nobody_holds_stay(spark):
     assert all(r.n_dropped == 0 for r in line_dedup.dedup_lines(docs, min_docs=1).collect())
 
 
+def test_very_long_texts_lose_lines_in_linear_time(spark):
+    """100,000 lines each, every second one shared: what grew with the square of the lines took ten minutes a document."""
+    shared = [f"line {i} that all of the six documents hold, over forty" for i in range(50_000)]
+    rows = [(d, "\n".join(x for i, s in enumerate(shared) for x in (s, f"{d} {i}"))) for d in range(6)]
+    began = time.monotonic()
+    out = {r.doc_id: r for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert time.monotonic() - began < 40
+    for d, text in rows:
+        want = (100_000, 50_000, "\n".join(f"{d} {i}" for i in range(50_000))) if d < 5 else (100_000, 0, text)
+        assert (out[d].n_lines, out[d].n_dropped, out[d].text) == want
+
+
+def test_columns_named_like_the_counts_stay_in_the_pipeline(spark):
+    docs = spark.createDataFrame([(1, "a", "own", "mine")], "doc_id bigint, text string, n_lines string, n_dropped string")
+    assert corpus_pipeline.line_deduplication(spark, docs, SF).collect() == docs.collect()
+
+
 def test_simhash_against_all_pairs(spark, given):
     out = {r.doc_id: r for r in queries.op9_simhash(spark, SF).collect()}
     want = brute.components(given)

@@ -35,9 +35,9 @@ def line_key(line: Column) -> Column:
 
 def _long_lines(documents: DataFrame, min_chars: int) -> DataFrame:
     """doc_id, text_hash, pos, h1, h2 of every line with a key of at least `min_chars` code points."""
-    lines = documents.select(
-        F.col("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), F.posexplode(lines_of(F.col("text"))).alias("pos", "line")
-    )
+    # The hash of the text is made below the explosion: beside it, it would be made again for every line.
+    split = documents.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), lines_of(F.col("text")).alias("lines"))
+    lines = split.select("doc_id", "text_hash", F.posexplode("lines").alias("pos", "line"))
     keyed = lines.filter(F.char_length("line") >= min_chars).withColumn("key", line_key(F.col("line")))
     # Two hashes with different starts: 128 bits, so that lines of a large corpus do not meet by chance.
     return keyed.filter(F.char_length("key") >= min_chars).select(
@@ -60,26 +60,28 @@ def _dropped(documents: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
     return lost.groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("gone"))
 
 
-def dedup_lines(documents: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """`documents` with `text` shortened, plus `n_lines` (before) and `n_dropped`.
+def dedup_lines(documents: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, counts: bool = True) -> DataFrame:
+    """`documents` with `text` shortened, plus `n_lines` (before) and `n_dropped` if `counts`.
 
     A null or empty text is one empty line and comes out as "". Rows without `doc_id` count as one document, which never
     keeps a line that one with an id holds; if only they hold it, nothing goes. Repeated rows and rows that share an id are
-    one document to the count and lose the same lines. A text whose lines all go is "". Other columns pass through; columns
-    named `n_lines` or `n_dropped` are replaced.
+    one document to the count and lose the same lines. A text whose lines all go is "". The work grows with the lines of a
+    text, however many it loses. Other columns pass through; with `counts`, columns of these two names are replaced.
     """
     gone = _dropped(documents, min_chars, min_docs).select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("gone").alias("_gone")
     )
-    row = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_d"))
-    same = F.col("_d.doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce("_d.text", F.lit(""))) == F.col("_hash"))
-    lines = lines_of(F.col("_d.text"))
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
-    shortened = F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
-    text = F.when(F.col("_gone").isNull(), F.coalesce("_d.text", F.lit(""))).otherwise(shortened)
-    passed = [text.alias(c) if c == "text" else F.col(f"_d.`{c}`") for c in documents.columns if c not in ("n_lines", "n_dropped")]
-    return row.join(gone, same, "left").select(
-        *passed,
-        F.size(lines).cast("bigint").alias("n_lines"),
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint").alias("n_dropped"),
+    # The lines travel instead of the text, so it is split once, below the join, and positions are looked up in an array.
+    rest = [F.col(f"`{c}`") for c in documents.columns if c != "text"]
+    row = documents.select(
+        F.struct(*rest).alias("_d"), lines_of(F.col("text")).alias("_lines"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_own_hash")
     )
+    same = F.col("_d.doc_id").eqNullSafe(F.col("_id")) & (F.col("_own_hash") == F.col("_hash"))
+    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
+    kept = F.when(F.col("_gone").isNull(), F.col("_lines")).otherwise(F.transform(left, lambda i: F.get(F.col("_lines"), i)))
+    counted = {
+        "n_lines": F.size("_lines").cast("bigint"),
+        "n_dropped": F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint"),
+    } if counts else {}
+    passed = [F.array_join(kept, "\n").alias(c) if c == "text" else F.col(f"_d.`{c}`") for c in documents.columns if c not in counted]
+    return row.join(gone, same, "left").select(*passed, *[c.alias(n) for n, c in counted.items()])
