@@ -39,26 +39,49 @@ def busy(spark):
 
 
 def test_finds_the_hot_keys(busy):
-    hot = skew.hot_keys(busy, ["session_id"], min_rows=100)
-    assert len(hot) == 1
-    assert busy.filter(skew.is_hot(["session_id"], hot)).select("session_id").distinct().first()[0] == "marathon"
-    assert skew.hot_keys(busy, ["session_id"]) == []
-    assert skew.hot_keys(busy.filter("false"), ["session_id"], min_rows=0) == []
+    hot = skew.hot_keys(busy, ["session_id"], ["event_id"], min_rows=1000)
+    assert hot.count() == 1
+    flagged = skew.marked(busy, ["session_id"], hot)
+    assert flagged.count() == busy.count() and flagged.filter("_hot").select("session_id").distinct().first()[0] == "marathon"
+    assert skew.hot_keys(busy, ["session_id"], ["event_id"]) is None
+    assert skew.hot_keys(busy.filter("false"), ["session_id"], ["event_id"], min_rows=0) is None
+
+
+def test_the_sample_finds_what_is_hot(spark):
+    """Keys of twice the bound are all found, keys of a tenth of it hardly ever; the same rows give the same keys."""
+    rows = spark.range(1_200_000).select(F.col("id").alias("event_id"), F.when(F.col("id") < 800_000, F.col("id") % 20).otherwise(100 + F.col("id") % 200).alias("key"))
+    first, again = (skew.hot_keys(rows.repartition(n), ["key"], ["event_id"], min_rows=20_000) for n in (3, 5))
+    assert {r.k for r in first.collect()} == {r.k for r in again.collect()}
+    flagged = {r.key for r in skew.marked(rows, ["key"], first).filter("_hot").select("key").distinct().collect()}
+    assert set(range(20)) <= flagged and not flagged & set(range(100, 300))
+
+
+def test_a_hundred_thousand_hot_keys(spark):
+    """They stay a table: the plan does not grow with them, and the driver does not see them."""
+    ids = spark.range(300_000).select(F.col("id").alias("event_id"), (F.col("id") % 100_000).alias("key"))
+    events = tables.settle(ids.withColumn("at", F.lit("2024-01-10 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("event_id") % 977)))
+    hot = skew.hot_keys(events, ["key"], ["event_id"], min_rows=2)
+    assert hot.count() == 100_000
+    cut, whole = (skew.with_neighbour(events, ["key"], ["at", "event_id"], ["event_id"], "at", h) for h in (hot, None))
+    assert len(plan(cut)) < 30_000
+    assert cut.exceptAll(whole).isEmpty() and whole.exceptAll(cut).isEmpty()
+    linked, plainly = (skew.last_known(events, ["key"], ["at", "event_id"], "event_id", "at", "last", h) for h in (hot, None))
+    assert linked.exceptAll(plainly).isEmpty()
 
 
 @pytest.mark.parametrize("across_days", [False, True])
 @pytest.mark.parametrize("slot", [40, 3600])
 def test_cut_watch_time(busy, across_days, slot):
-    hot = skew.hot_keys(busy, watch.group_keys(across_days), min_rows=100)
-    assert hot
+    hot = skew.hot_keys(busy, watch.group_keys(across_days), ["event_id"], min_rows=100)
+    assert hot is not None
     cut = watch.watch_time(busy, hot, across_days, slot)
-    plain = watch.watch_time(busy, (), across_days)
+    plain = watch.watch_time(busy, None, across_days)
     assert cut.columns == plain.columns
     assert cut.exceptAll(plain).isEmpty() and plain.exceptAll(cut).isEmpty()
 
 
 def test_cut_watch_time_reads_and_shuffles_its_input_once(busy):
-    hot = skew.hot_keys(busy, watch.group_keys(), min_rows=100)
+    hot = skew.hot_keys(busy, watch.group_keys(), ["event_id"], min_rows=100)
     cut = watch.watch_time(busy, hot)
     cut.collect()
     assert "ReusedExchange" in plan(cut) or "ReusedQueryStage" in plan(cut)
@@ -67,8 +90,8 @@ def test_cut_watch_time_reads_and_shuffles_its_input_once(busy):
 @pytest.mark.parametrize("slot", [40, 3600])
 def test_cut_device_link(busy, slot):
     mixed = busy.withColumn("user_id", F.when(F.col("event_id").substr(6, 1).isin("3", "6"), F.col("user_id")))
-    hot = skew.hot_keys(mixed, ["device_id"], min_rows=100)
-    assert hot
+    hot = skew.hot_keys(mixed, ["device_id"], ["event_id"], min_rows=100)
+    assert hot is not None
     cut, plain = asof.link_devices(mixed, hot, slot), asof.link_devices(mixed)
     assert plain.filter("linked_user_id IS NOT NULL AND user_id IS NULL").count() > 1000
     assert cut.exceptAll(plain).isEmpty() and plain.exceptAll(cut).isEmpty()
@@ -80,8 +103,8 @@ def test_salted_join(busy, spark):
           ('whale', TIMESTAMP_NTZ'2024-01-11 06:00:00', TIMESTAMP_NTZ'9999-12-31 00:00:00', 'basic'),
           ('u4', TIMESTAMP_NTZ'2024-01-11 00:00:00', TIMESTAMP_NTZ'9999-12-31 00:00:00', 'trial')
         AS t(user_id, valid_from, valid_to, current_plan)""")
-    hot = skew.hot_keys(busy, ["user_id"], min_rows=500)
-    assert len(hot) >= 1
+    hot = skew.hot_keys(busy, ["user_id"], ["event_id"], min_rows=500)
+    assert hot.count() >= 1
     salted = asof.attach_at_event(busy, dim, ["current_plan"], hot=hot)
     on = (busy.user_id == dim.user_id) & (dim.valid_from <= busy.server_ts) & (busy.server_ts < dim.valid_to)
     plain = busy.join(dim, on, "left").select(*[busy[c] for c in busy.columns], "current_plan")
@@ -96,8 +119,8 @@ def test_cut_history(make):
         "user_id", "last_updated_ts AS signup_ts", "'x' AS signup_source", "'PK' AS country_code", "current_plan",
         "TIMESTAMP_NTZ'2023-01-01 00:00:00' AS plan_started_ts", "'active' AS status", "last_updated_ts",
     )
-    hot = skew.hot_keys(cdc, ["user_id"], min_rows=10)
-    assert len(hot) == 1
+    hot = skew.hot_keys(cdc, ["user_id"], ["last_updated_ts"], min_rows=10)
+    assert hot.count() == 1
     cut, plain = scd2.scd2_apply(None, cdc, hot), scd2.scd2_apply(None, cdc)
     assert cut.exceptAll(plain).isEmpty() and plain.exceptAll(cut).isEmpty()
 
@@ -157,6 +180,14 @@ def test_no_plan_pairs_rows_blindly_or_runs_in_one_task(spark):
         assert all("], []" not in w for w in windows), name
 
 
+def test_plans_at_a_date_have_no_range_join(spark):
+    from viewpulse.plans.queries import all_queries
+
+    for name in ("asof_plan_week", "weekly_plan_platform"):
+        text = plan(all_queries()[name](spark, "/root/testdata/sf0.001"))
+        assert not re.search(r"Join \[user_id.*valid_from", text), name
+
+
 def test_dedup_prunes_copies_before_the_shuffle(spark):
     text = plan(dedup.latest_copy(derived.playback_events(spark, "/root/testdata/sf0.001")))
     assert text.index("row_number(), 1, Final") < text.index("Exchange hashpartitioning(event_id") < text.index("row_number(), 1, Partial")

@@ -10,25 +10,13 @@ from pyspark.sql import functions as F
 from viewpulse.functions.dates import week_start
 from viewpulse.operators.skew import SLOT_SECONDS, last_known
 
-
-def _versions(dim: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return dim.select(
-        F.col("user_id").alias("_d_user"),
-        F.col("valid_from").alias("_from"),
-        F.col("valid_to").alias("_to"),
-        *columns,
-    )
-
-
-def _valid(at: Column) -> Column:
-    return (F.col("_from") <= at) & (at < F.col("_to"))
+#: Parts that rows without a user are dealt into.
+NULL_FAN_OUT = 4096
 
 
-def attach_at_date(df: DataFrame, dim: DataFrame, date: str, columns: Sequence[str], how: str = "left") -> DataFrame:
-    """User attributes valid at the start of `date`, for rows that are already one per user and period."""
-    at = F.col(date).cast("timestamp_ntz")
-    on = (F.col("user_id") == F.col("_d_user")) & _valid(at)
-    return df.join(_versions(dim, columns), on, how).drop("_d_user", "_from", "_to")
+def attach_at_date(df: DataFrame, dim: DataFrame, date: str, columns: Sequence[str], hot: DataFrame | None = None) -> DataFrame:
+    """User attributes valid at the start of `date`. Rows without a user or a date are kept with nulls."""
+    return attach_at_event(df.withColumn("_at", F.col(date).cast("timestamp_ntz")), dim, columns, "_at", hot).drop("_at")
 
 
 def attach_at_event(
@@ -36,27 +24,28 @@ def attach_at_event(
     dim: DataFrame,
     columns: Sequence[str],
     at: str = "server_ts",
-    hot: Sequence[int] = (),
+    hot: DataFrame | None = None,
     slot_seconds: int = SLOT_SECONDS,
 ) -> DataFrame:
     """User attributes valid when each event happened. Anonymous events are kept with nulls.
 
     Versions and events of a user are put into one order of time and each event takes the last version before it, so a user
-    with many of both makes no pairs. `hot` comes from `hot_keys(events, ["user_id"])`.
+    with many of both makes no pairs. Anonymous events are dealt out by their time, as no version concerns them. `hot` comes
+    from `hot_keys` of `user_id`.
     """
-    known = events.filter(F.col("user_id").isNotNull()).withColumn("_kind", F.lit(1))
+    apart = F.when(F.col("user_id").isNull(), F.pmod(F.xxhash64(at), F.lit(NULL_FAN_OUT))).otherwise(F.lit(0))
     version = F.struct(F.col("valid_to").alias("until"), *columns).alias("_version")
-    starts = dim.select("user_id", F.col("valid_from").alias(at), F.lit(0).alias("_kind"), version)
+    starts = dim.select("user_id", F.col("valid_from").alias(at), F.lit(0).cast("bigint").alias("_apart"), F.lit(0).alias("_kind"), version)
+    rows = events.withColumns({"_apart": apart, "_kind": F.lit(1)})
     ordered = last_known(
-        starts.unionByName(known, allowMissingColumns=True), ["user_id"], [at, "_kind"], "_version", at, "_valid", hot, slot_seconds
+        starts.unionByName(rows, allowMissingColumns=True), ["user_id", "_apart"], [at, "_kind"], "_version", at, "_valid", hot, slot_seconds, ["user_id"]
     )
     holds = F.col("_valid.until") > F.col(at)
     placed = ordered.filter("_kind = 1").withColumns({c: F.when(holds, F.col(f"_valid.{c}")) for c in columns})
-    wanted = [*events.columns, *columns]
-    return placed.select(*wanted).unionByName(events.filter(F.col("user_id").isNull()), allowMissingColumns=True).select(*wanted)
+    return placed.select(*events.columns, *columns)
 
 
-def watch_time_by_plan(playback: DataFrame, dim: DataFrame, hot: Sequence[int] = ()) -> DataFrame:
+def watch_time_by_plan(playback: DataFrame, dim: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Watch time per user, week and the plan at viewing time: an upgrade in mid-week splits the week."""
     known = playback.filter(F.col("user_id").isNotNull())
     with_plan = attach_at_event(known, dim, ["current_plan"], hot=hot)
@@ -65,10 +54,10 @@ def watch_time_by_plan(playback: DataFrame, dim: DataFrame, hot: Sequence[int] =
     ).agg(F.sum("watch_time_sec").alias("total_watch_time_sec"), F.count("event_id").alias("event_count"))
 
 
-def link_devices(events: DataFrame, hot: Sequence[int] = (), slot_seconds: int = SLOT_SECONDS) -> DataFrame:
+def link_devices(events: DataFrame, hot: DataFrame | None = None, slot_seconds: int = SLOT_SECONDS) -> DataFrame:
     """Add linked_user_id: the event's own user, else the last user seen on its device up to then.
 
-    `hot` comes from `hot_keys(events, ["device_id"])`.
+    `hot` comes from `hot_keys` of `device_id`.
     """
     linked = last_known(
         events, ["device_id"], ["server_ts", "event_id"], "user_id", "server_ts", "_linked", hot, slot_seconds

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -35,7 +33,7 @@ def scd2_changes(dim: DataFrame, cdc: DataFrame) -> DataFrame:
     return joined.filter(changed).select(*cdc.columns, "row_hash")
 
 
-def scd2_apply(dim: DataFrame | None, cdc: DataFrame, hot: Sequence[int] = ()) -> DataFrame:
+def scd2_apply(dim: DataFrame | None, cdc: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """The dimension after `cdc`; without `dim`, its first load.
 
     One plan over history and changes: rows are put in order of their update time, repeats of the same attributes are

@@ -1,13 +1,14 @@
 """Keeping hot keys out of single tasks.
 
-`hot_keys` counts the rows of each key exactly, with partial counts before the shuffle, and brings back the hashes of those
-above an absolute bound: n rows have at most n / bound of them, and a group that is left whole never outgrows the bound,
-however large the table. When keys are hot, only their rows are treated differently:
-
-* `with_neighbour` (lead/lag) and `last_known` (running last value) cut a hot group into time slots. Inside a slot an
-  ordinary window runs; across slots only the edge rows of each slot are compared. Results equal the uncut window.
-* `spread_join` salts hot keys on the large side and repeats only their few rows on the other side. Null keys, which can
-  never match, are scattered too.
+`hot_keys` finds keys above a bound of rows from a hash sample of the rows: nothing is counted for the others, so the pass is
+one narrow scan, and the result is a table, however many hot keys there are. The sample is a function of the rows, so a rerun
+finds the same keys. Where a key has as many rows as the bound, 64 of them are expected in the sample and 32 are asked for:
+such a key is missed with a probability below 3e-5 (Chernoff), one of twice the bound with one below 1e-23. A key that is
+missed, or taken for hot without being it, changes the plan of its group and never the result.
+
+Rows of hot keys are told by a join with that table, which Spark broadcasts when its files are small. Only these rows are
+treated differently: `with_neighbour` (lead/lag) and `last_known` (running last value) cut a hot group into time slots. Inside
+a slot an ordinary window runs; across slots only the edge rows of each slot are compared. Results equal the uncut window.
 """
 
 from __future__ import annotations
@@ -19,25 +20,36 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from viewpulse.functions.dates import epoch_seconds
+from viewpulse.sources.tables import settle
 
 MIN_HOT_ROWS = 1_000_000
 SLOT_SECONDS = 60
-FAN_OUT = 256
-NULL_FAN_OUT = 4096
+#: Rows of a key of exactly the bound that the sample is expected to hold.
+EXPECTED = 64
+_BUCKETS = 1 << 30
 
 
 def _hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = MIN_HOT_ROWS) -> list[int]:
-    """Hashes of the key values holding more than `min_rows` rows. Two keys of one hash would only be cut needlessly."""
-    counted = df.groupBy(_hash(keys).alias("k")).agg(F.count(F.lit(1)).alias("n"))
-    return [r["k"] for r in counted.filter(F.col("n") > min_rows).select("k").collect()]
+def hot_keys(df: DataFrame, keys: Sequence[str], by: Sequence[str], min_rows: int = MIN_HOT_ROWS) -> DataFrame | None:
+    """Table of the hashes (`k`) of the key values with more than about `min_rows` rows; None if there are none.
+
+    `by` are columns that tell rows apart: the sample is drawn by their hash. Up to a bound of `EXPECTED` rows every row is in
+    the sample and the count is exact. Two keys of one hash would only be cut needlessly.
+    """
+    share = min(1.0, EXPECTED / max(1, min_rows))
+    drawn = df if share == 1 else df.filter(F.pmod(F.xxhash64(F.lit("sample"), *by), F.lit(_BUCKETS)) < int(share * _BUCKETS))
+    counted = drawn.groupBy(_hash(keys).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    found = settle(counted.filter(F.col("n") > (min_rows if share == 1 else EXPECTED // 2 - 1)).select("k"))
+    return None if found.isEmpty() else found
 
 
-def is_hot(keys: Sequence[str], hot: Sequence[int]) -> Column:
-    return _hash(keys).isin(list(hot))
+def marked(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
+    """Add `_hot`: whether the row's key is in the table of hot keys."""
+    listed = hot.select(F.col("k").alias("_hot_key"))
+    return df.join(listed, _hash(keys) == F.col("_hot_key"), "left").withColumn("_hot", F.col("_hot_key").isNotNull()).drop("_hot_key")
 
 
 def with_neighbour(
@@ -46,7 +58,7 @@ def with_neighbour(
     order: Sequence[str],
     take: Sequence[str],
     at: str,
-    hot: Sequence[int] = (),
+    hot: DataFrame | None = None,
     forward: bool = True,
     slot_seconds: int = SLOT_SECONDS,
 ) -> DataFrame:
@@ -60,13 +72,13 @@ def with_neighbour(
     def neighbours(w) -> dict[str, Column]:
         return {f"{name}_{c}": step(c).over(w) for c in take}
 
-    if not hot:
+    if hot is None:
         return df.withColumns(neighbours(whole))
 
     slot = F.when(F.col("_hot"), F.floor(epoch_seconds(F.col(at)) / slot_seconds)).otherwise(F.lit(0))
     inner = W.partitionBy(*keys, "_slot").orderBy(*order)
     cut = (
-        df.withColumn("_hot", is_hot(keys, hot))
+        marked(df, keys, hot)
         .withColumn("_slot", slot)
         .withColumns(
             {**neighbours(inner), "_after": F.lead(F.lit(1)).over(inner), "_before": F.lag(F.lit(1)).over(inner)}
@@ -88,21 +100,25 @@ def last_known(
     value: str,
     at: str,
     into: str,
-    hot: Sequence[int] = (),
+    hot: DataFrame | None = None,
     slot_seconds: int = SLOT_SECONDS,
+    hot_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Add `into`: the latest non-null `value` at or before each row, per `keys` ordered by `order`."""
+    """Add `into`: the latest non-null `value` at or before each row, per `keys` ordered by `order`.
+
+    `hot` lists values of `hot_by`, by default of `keys`.
+    """
 
     def running(w) -> Column:
         return F.last(value, ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, W.currentRow))
 
-    if not hot:
+    if hot is None:
         return df.withColumn(into, running(W.partitionBy(*keys).orderBy(*order)))
 
     slot = F.when(F.col("_hot"), F.floor(epoch_seconds(F.col(at)) / slot_seconds)).otherwise(F.lit(0))
     inner = W.partitionBy(*keys, "_slot").orderBy(*order)
     cut = (
-        df.withColumn("_hot", is_hot(keys, hot))
+        marked(df, hot_by or keys, hot)
         .withColumn("_slot", slot)
         .withColumns({into: running(inner), "_after": F.lead(F.lit(1)).over(inner)})
     )
@@ -119,33 +135,3 @@ def last_known(
     wanted = [*df.columns, into]
     filled = cut.filter("_hot").join(carried, same, "left").withColumn(into, F.coalesce(into, "_carried"))
     return cut.filter("NOT _hot").select(*wanted).unionByName(filled.select(*wanted))
-
-
-def spread_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    spread_by: str,
-    condition: Column | None = None,
-    hot: Sequence[int] = (),
-    how: str = "left",
-    fan_out: int = FAN_OUT,
-    key_right: str | None = None,
-) -> DataFrame:
-    """Equi-join on `key` (plus `condition`) where `left` may have hot or null keys.
-
-    Both sides stay shuffled joins that AQE may turn into a broadcast once it has measured the right side.
-    """
-    spread = F.xxhash64(F.col(spread_by))
-    salt = F.when(F.col(key).isNull(), F.pmod(spread, F.lit(NULL_FAN_OUT)))
-    copies = F.array(F.lit(0).cast("bigint"))
-    if hot:
-        salt = salt.when(is_hot([key], hot), F.pmod(spread, F.lit(fan_out)))
-        every = F.sequence(F.lit(0).cast("bigint"), F.lit(fan_out - 1).cast("bigint"))
-        copies = F.when(is_hot(["_r_key"], hot), every).otherwise(copies)
-    lhs = left.withColumn("_salt", salt.otherwise(F.lit(0)).cast("bigint"))
-    rhs = right.withColumnRenamed(key_right or key, "_r_key").withColumn("_r_salt", F.explode(copies))
-    on = (F.col(key) == F.col("_r_key")) & (F.col("_salt") == F.col("_r_salt"))
-    if condition is not None:
-        on = on & condition
-    return lhs.join(rhs, on, how).drop("_salt", "_r_salt", "_r_key")

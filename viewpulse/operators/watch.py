@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,11 +32,11 @@ def _seconds() -> Column:
 
 
 def watch_time(
-    events: DataFrame, hot: Sequence[int] = (), across_days: bool = False, slot_seconds: int = SLOT_SECONDS
+    events: DataFrame, hot: DataFrame | None = None, across_days: bool = False, slot_seconds: int = SLOT_SECONDS
 ) -> DataFrame:
     """Add watch_time_sec: what each event is worth until the next one of its session and content.
 
-    A session over midnight is cut at the date unless `across_days`. `hot` comes from `hot_keys(events, group_keys())`.
+    A session over midnight is cut at the date unless `across_days`. `hot` comes from `hot_keys` of `group_keys()`.
     """
     chained = with_neighbour(
         events,
@@ -69,7 +67,7 @@ def cap_vod(events: DataFrame, content: DataFrame) -> DataFrame:
 
 
 def playback_facts(
-    staged: DataFrame, content: DataFrame, hot: Sequence[int] = (), across_days: bool = False
+    staged: DataFrame, content: DataFrame, hot: DataFrame | None = None, across_days: bool = False
 ) -> DataFrame:
     """Staging events to playback facts."""
     return cap_vod(watch_time(staged, hot, across_days), content).select(*FCT_PLAYBACK.columns)

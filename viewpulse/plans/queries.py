@@ -56,22 +56,22 @@ def staged(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stored_events(spark: SparkSession, sf: str) -> DataFrame:
-    """The deduplicated events as a table: hot keys are measured on it before it is used."""
     return tables.settle(staged(spark, sf))
 
 
-def timed_facts(events: DataFrame, spark: SparkSession, sf: str, hot_rows: int = skew.MIN_HOT_ROWS) -> DataFrame:
-    return watch.playback_facts(events, derived.content(spark, sf), skew.hot_keys(events, watch.group_keys(), hot_rows))
+def hot_events(spark: SparkSession, sf: str, keys: list[str], hot_rows: int = skew.MIN_HOT_ROWS) -> DataFrame | None:
+    """Hot keys of the raw events: copies can only add to a group, so the deduplicated ones need not be stored first."""
+    return skew.hot_keys(dedup.type_events(raw(spark, sf), INGEST), keys, ["event_id", "server_ts"], hot_rows)
 
 
 def facts(spark: SparkSession, sf: str) -> DataFrame:
-    return timed_facts(stored_events(spark, sf), spark, sf)
+    return watch.playback_facts(staged(spark, sf), derived.content(spark, sf), hot_events(spark, sf, watch.group_keys()))
 
 
 def users(spark: SparkSession, sf: str, hot_rows: int = skew.MIN_HOT_ROWS) -> DataFrame:
     """The history as a table: most queries look into it more than once."""
     cdc = derived.users_cdc(spark, sf)
-    return tables.settle(scd2.scd2_apply(None, cdc, skew.hot_keys(cdc, ["user_id"], hot_rows)))
+    return tables.settle(scd2.scd2_apply(None, cdc, skew.hot_keys(cdc, ["user_id"], ["user_id", "last_updated_ts"], hot_rows)))
 
 
 _MEASURED = [
@@ -171,8 +171,7 @@ def q_lookback_empty_days(spark, sf):
 
 
 def q_watch_time(spark, sf, hot_rows=skew.MIN_HOT_ROWS):
-    events = stored_events(spark, sf)
-    timed = watch.watch_time(events, skew.hot_keys(events, watch.group_keys(), hot_rows))
+    timed = watch.watch_time(staged(spark, sf), hot_events(spark, sf, watch.group_keys(), hot_rows))
     return timed.select("event_id", "session_id", "content_id", "event_date", "server_ts", "event_type", "watch_time_sec")
 
 
@@ -182,8 +181,7 @@ def q_watch_time_hot(spark, sf):
 
 
 def q_watch_time_across_days(spark, sf):
-    events = stored_events(spark, sf)
-    timed = watch.watch_time(events, skew.hot_keys(events, watch.group_keys(True)), across_days=True)
+    timed = watch.watch_time(staged(spark, sf), hot_events(spark, sf, watch.group_keys(True)), across_days=True)
     return timed.select("event_id", "session_id", "content_id", "event_date", "watch_time_sec")
 
 
@@ -256,8 +254,8 @@ def q_asof_plan_week(spark, sf):
 
 
 def q_asof_plan_event(spark, sf, hot_rows=skew.MIN_HOT_ROWS):
-    events = stored_events(spark, sf)
-    placed = asof.attach_at_event(events, users(spark, sf), ["current_plan", "status"], hot=skew.hot_keys(events, ["user_id"], hot_rows))
+    hot = hot_events(spark, sf, ["user_id"], hot_rows)
+    placed = asof.attach_at_event(staged(spark, sf), users(spark, sf), ["current_plan", "status"], hot=hot)
     return placed.select("event_id", "user_id", "server_ts", "current_plan", "status")
 
 
@@ -266,14 +264,11 @@ def q_asof_plan_event_hot(spark, sf):
 
 
 def q_watch_time_by_plan(spark, sf):
-    events = stored_events(spark, sf)
-    hot = skew.hot_keys(events, ["user_id"])
-    return asof.watch_time_by_plan(timed_facts(events, spark, sf), users(spark, sf), hot)
+    return asof.watch_time_by_plan(facts(spark, sf), users(spark, sf), hot_events(spark, sf, ["user_id"]))
 
 
 def q_device_link(spark, sf, hot_rows=skew.MIN_HOT_ROWS):
-    events = stored_events(spark, sf)
-    linked = asof.link_devices(events, skew.hot_keys(events, ["device_id"], hot_rows))
+    linked = asof.link_devices(staged(spark, sf), hot_events(spark, sf, ["device_id"], hot_rows))
     return linked.select("event_id", "device_id", "user_id", "linked_user_id")
 
 

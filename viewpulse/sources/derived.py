@@ -3,7 +3,8 @@
 The text is plain SQL that Spark and DuckDB both run, so the correctness oracles use the same inputs. Accounts group four
 customers (devices), change rows are the customers themselves, titles are the parts. (l_orderkey, l_linenumber) repeats,
 which gives real duplicate event ids; sessions may cross midnight, change platform, or be anonymous; guests have no
-user record.
+user record. Lines and orders are joined by shuffle at every size, as they are where neither fits a task's memory; one file
+of one row group would else be derived by one task.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ SELECT 'evt_'||l_orderkey||'_'||l_linenumber AS event_id,
  CASE (l_orderkey + CAST(l_linenumber > 4 AS INT)) % 5 WHEN 0 THEN 'ios' WHEN 1 THEN 'android' WHEN 2 THEN 'web'
    WHEN 3 THEN 'tv' ELSE 'firetv' END AS platform,
  CASE o_custkey % 5 WHEN 0 THEN 'PK' WHEN 1 THEN 'US' WHEN 2 THEN 'GB' WHEN 3 THEN 'IN' ELSE 'AE' END AS country_code
-FROM (SELECT l_orderkey, l_linenumber, l_partkey, o_custkey,
+FROM (SELECT /*+ MERGE(l, o) */ l_orderkey, l_linenumber, l_partkey, o_custkey,
         CAST('2024-01-01 00:00:00' AS {TS}) + INTERVAL '1' SECOND * CAST(
           (l_orderkey % 41) * 86400 + (l_orderkey * 7919) % 86400 + l_linenumber * 200 + CAST(l_quantity AS INT) * 8 AS INT) AS sts
       FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey) x
