@@ -149,7 +149,7 @@ def test_packing_gives_leftovers_a_second_round():
     """What finds nothing related in its shard is given back whole, and packed with anything in the last round."""
     corpus = packing.Corpus(np.array([0.1, 2, 2, 2, 2, 2]), 100.0)
     terms = [np.array(t, np.uint16) for t in ([0, 1], [0, 1], [0, 2], [0, 3])]
-    docs = [packing.Document(i, 60, np.full(60, i, np.uint16), t, np.ones(2, np.uint16)) for i, t in enumerate(terms)]
+    docs = [packing.Document(i, 60, np.full(60, i, np.uint16), t, np.ones(2, np.uint32)) for i, t in enumerate(terms)]
     windows = packing.Windows(0, 100)
     left = windows.block(corpus, docs, last=False)
     assert {p[0] for p in windows.pieces} == {0, 1} and sum(p[2] for p in windows.pieces) == 100
@@ -171,6 +171,30 @@ def test_index_ranks_by_bm25():
     assert 3 not in index.neighbours(np.array([1, 2, 7], np.uint16))
 
 
+def test_related_documents_are_the_first_of_the_full_ranking():
+    """Completing the scores of candidates alone changes neither which documents come first nor their order."""
+    r = np.random.default_rng(6)
+    for n in (3, 70, 400):
+        chance = np.concatenate([np.full(20, 0.8), np.full(150, 0.06)])
+        has = r.random((n, len(chance))) < chance
+        has[:, 0] = True
+        docs = [np.flatnonzero(row).astype(np.uint16) for row in has]
+        counts = [r.integers(1, 9, len(d)).astype(np.uint32) for d in docs]
+        df = has.sum(0)
+        corpus = packing.Corpus(np.log1p((n - df + 0.5) / (df + 0.5)), 60.0)
+        index = packing.Index(corpus, docs, counts, r.integers(20, 200, n).tolist())
+        for seed in range(n):
+            index.unused[seed] = False
+            ranking = index.neighbours(docs[seed])
+            shares = has[:, has[seed] & corpus.telling].any(1)
+            for most in (1, 5, 64):
+                got = index.related(docs[seed], most).tolist()
+                assert got == [i for i in ranking.tolist() if shares[i]][: len(got)]
+                assert len(got) >= min(most, int((shares & index.unused).sum()))
+            if seed % 7 == 0:
+                index.shrink()
+
+
 def test_packing_of_awkward_rows(spark):
     docs = brute.awkward_documents(spark)
     pieces = packing.pack_documents(docs, BYTE, block_docs=3).collect()

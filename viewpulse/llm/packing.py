@@ -62,7 +62,7 @@ def _tokenize(path: str, window: int, end_id: int):
                     whole = len(own) // window * window
                     terms, counts = np.unique(own, return_counts=True)
                     sums = [crc(own[k : k + window]) for k in range(0, whole, window)]
-                    rows.append((len(own), sums, own[whole:].astype("<u2").tobytes(), terms.astype("<u2").tobytes(), np.minimum(counts, 65535).astype("<u2").tobytes()))
+                    rows.append((len(own), sums, own[whole:].astype("<u2").tobytes(), terms.astype("<u2").tobytes(), counts.astype("<u4").tobytes()))
                 sizes, sums, tails, terms, counts = zip(*rows, strict=True)
                 columns = [batch.column("doc_id").slice(at, n), pa.array(sizes, pa.int64()), pa.array(sums, pa.list_(pa.int64()))]
                 columns += [pa.array(c, pa.binary()) for c in (tails, terms, counts)]
@@ -104,8 +104,12 @@ class Corpus:
         return self.idf[terms] * counts * (K1 + 1) / (counts + K1 * (1 - B + B * tokens / self.mean_tokens))
 
 
-def _numbers(values: list[bytes]) -> list[np.ndarray]:
-    return [np.frombuffer(v, "<u2") for v in values]
+#: How ids of tails and terms, and counts, are stored.
+KINDS = {"tail": "<u2", "terms": "<u2", "counts": "<u4"}
+
+
+def _numbers(batch: pa.RecordBatch, column: str) -> list[np.ndarray]:
+    return [np.frombuffer(v, KINDS[column]) for v in batch.column(column).to_pylist()]
 
 
 def _telling(corpus: Corpus, terms: list[np.ndarray], counts: list[np.ndarray], tokens: list[int], after: int = 0) -> tuple[np.ndarray, np.ndarray]:
@@ -130,7 +134,7 @@ def _keyed(shared, after: int):
         for whole in batches:
             for at in range(0, whole.num_rows, KEYED_ROWS):
                 batch = whole.slice(at, KEYED_ROWS)
-                terms, counts = (_numbers(batch.column(c).to_pylist()) for c in ("terms", "counts"))
+                terms, counts = (_numbers(batch, c) for c in ("terms", "counts"))
                 keys = _telling(shared.value, terms, counts, batch.column("doc_tokens").to_pylist(), after)
                 yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, keys)], names=[*batch.schema.names, "k1", "k2"])
 
@@ -152,6 +156,12 @@ class Index:
         self.unused = np.ones(len(terms), bool)
         self.telling = corpus.telling[self.vocabulary]
         self.held = len(terms)
+        # What the documents have of the other terms, by document, and the most that each of these can weigh.
+        common = ~corpus.telling[flat]
+        self.own_terms, self.own_w = flat[common], w[common]
+        self.own_starts = np.concatenate([[0], np.cumsum(np.bincount(of[common], minlength=len(terms)))])
+        self.most_w = np.maximum.reduceat(self.w, self.begins)
+        self.asked = np.zeros(len(corpus.idf), bool)
 
     def shrink(self) -> None:
         """Drop the postings of used documents once these are half of those in the index."""
@@ -163,27 +173,57 @@ class Index:
         self.begins, self.ends = before[self.begins], before[self.ends]
         self.docs, self.w, self.held = self.docs[keep], self.w[keep], left
 
-    def neighbours(self, query: np.ndarray, related: bool = False, most: int | None = None) -> np.ndarray:
-        """Unused documents, best first by BM25 for the query's terms; ties in the order of the shard. `related`: only those
-        that share a telling term with the query. `most`: so many at least, if there are."""
+    def _postings(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Documents and weights of the terms at these places of the vocabulary, one term behind the other."""
+        spans = list(zip(self.begins[at].tolist(), self.ends[at].tolist(), strict=True))
+        if not spans:
+            return self.docs[:0], self.w[:0]
+        return np.concatenate([self.docs[a:b] for a, b in spans]), np.concatenate([self.w[a:b] for a, b in spans])
+
+    def _places(self, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the query's terms in the vocabulary: telling ones, others."""
         at = np.searchsorted(self.vocabulary, query)
         at[at == len(self.vocabulary)] = 0
         at = at[self.vocabulary[at] == query]
-        # Telling terms come first, so that their postings are the first ones.
-        at = np.concatenate([at[self.telling[at]], at[~self.telling[at]]])
-        spans = list(zip(self.begins[at].tolist(), self.ends[at].tolist(), strict=True))
-        docs = np.concatenate([self.docs[a:b] for a, b in spans]) if spans else self.docs[:0]
-        w = np.concatenate([self.w[a:b] for a, b in spans]) if spans else self.w[:0]
-        scores = np.bincount(docs, w, len(self.unused))
-        wanted = self.unused
-        if related:
-            telling = sum(b - a for a, b in spans[: int(self.telling[at].sum())])
-            wanted = wanted & (np.bincount(docs[:telling], minlength=len(self.unused)) > 0)
-        left = np.flatnonzero(wanted)
+        telling = self.telling[at]
+        return at[telling], at[~telling]
+
+    def neighbours(self, query: np.ndarray, most: int | None = None) -> np.ndarray:
+        """Unused documents, best first by BM25 for the query's terms; ties in the order of the shard. `most`: so many at least."""
+        scores = np.bincount(*self._postings(np.concatenate(self._places(query))), len(self.unused))
+        left = np.flatnonzero(self.unused)
         if most is not None and len(left) > most:
             left = left[scores[left] >= np.partition(scores[left], -most)[-most]]
         return left[np.argsort(-scores[left], kind="stable")]
 
+    def related(self, query: np.ndarray, most: int) -> np.ndarray:
+        """The first of the unused documents that share a telling term with the query, in the same order: `most` at least,
+        if there are so many.
+
+        Only the postings of telling terms are added up. What the other terms could still add decides which documents can be
+        among the first; the scores of these are completed from their own terms, added in the same order.
+        """
+        telling, others = self._places(query)
+        docs, w = self._postings(telling)
+        if not len(docs):
+            return docs
+        scores = np.bincount(docs, w, len(self.unused))
+        left = np.flatnonzero((scores > 0) & self.unused)
+        if len(left) > most:
+            least = np.partition(scores[left], -most)[-most] - self.most_w[others].sum()
+            left = left[scores[left] >= least - 1e-9 * abs(least)]
+        n = np.arange(len(left))
+        sizes = self.own_starts[left + 1] - self.own_starts[left]
+        at = np.arange(sizes.sum()) + np.repeat(self.own_starts[left] - (np.cumsum(sizes) - sizes), sizes)
+        self.asked[query] = True
+        hit = self.asked[self.own_terms[at]]
+        self.asked[query] = False
+        whole = np.bincount(np.concatenate([n, np.repeat(n, sizes)[hit]]), np.concatenate([scores[left], self.own_w[at[hit]]]), len(left))
+        if len(left) > most:
+            first = whole >= np.partition(whole, -most)[-most]
+            left, whole = left[first], whole[first]
+        return left[np.argsort(-whole, kind="stable")]
+
 
 @dataclass
 class Document:
@@ -246,11 +286,11 @@ class Windows:
                 self.place(docs[following])
                 continue
             index.shrink()
-            found = index.neighbours(self.seed, related=True, most=NEAREST)
+            found = index.related(self.seed, NEAREST)
             if not len(found) and not last:
                 given_back += self.undo()
                 continue
-            for i in found if len(found) else index.neighbours(self.seed, most=NEAREST):
+            for i in found if len(found) else index.neighbours(self.seed, NEAREST):
                 index.unused[i] = False
                 if self.place(docs[i]):
                     break
@@ -261,7 +301,7 @@ class Windows:
         names = [c.split()[0] for c in f"{_PIECES}, {_LEFT}".split(", ")]
         rows = [(*p, None, None, None) for p in self.pieces]
         for d in given_back:
-            rows.append((d.doc_id, *[None] * 3, d.tokens, *[None] * 2, *[x.astype("<u2").tobytes() for x in (d.tail, d.terms, d.counts)]))
+            rows.append((d.doc_id, *[None] * 3, d.tokens, *[None] * 2, *[getattr(d, c).astype(kind).tobytes() for c, kind in KINDS.items()]))
         columns = zip(*rows, strict=True) if rows else [[]] * 10
         kinds = [*[pa.int64()] * 7, *[pa.binary()] * 3]
         out = pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=names)
@@ -275,7 +315,7 @@ def _pack(shared, window: int, postings: int, block_docs: int | None, last: bool
         docs: list[Document] = []
         held = 0
         for batch in batches:
-            terms, tails, found = (_numbers(batch.column(c).to_pylist()) for c in ("terms", "tail", "counts"))
+            terms, tails, found = (_numbers(batch, c) for c in ("terms", "tail", "counts"))
             keys = (batch.column(c).to_pylist() for c in ("doc_id", "doc_tokens", "sums"))
             for doc_id, tokens, sums, t, tail, n in zip(*keys, terms, tails, found, strict=True):
                 windows.whole(doc_id, tokens, sums)
