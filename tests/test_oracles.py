@@ -31,3 +31,8 @@ def test_query_matches_sql(spark, duck, name):
 
 def test_flagship(spark):
     assert entry_points.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_recent_viewers_are_not_compared_with_nothing(spark, sf):
+    assert QUERIES["live_recent_viewers"](spark, f"/root/testdata/{sf}").count() > 0

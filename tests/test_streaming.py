@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from viewpulse.operators import dedup, sessions
 from viewpulse.schemas import LIVE_EVENTS
 from viewpulse.sources import derived, files, tables
-from viewpulse.streaming import live
+from viewpulse.streaming import live, log, sketches
 
 SF = "/root/testdata/sf0.001"
 
@@ -100,3 +100,86 @@ def test_sessions_in_append_mode_need_the_watermark_to_pass(spark, feed, tmp_pat
     got = live.unzoned(spark.read.parquet(out)).select("user_id", "session_start_ts", "session_end_ts", "event_count")
     want = sessions.gap_sessions(feed[1], ["user_id"], "server_ts").select(*got.columns)
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+# The log
+
+
+def latest(df):
+    return dedup.latest_copy(live.unzoned(df))
+
+
+def log_rows(spark, root):
+    return sorted(map(repr, log.read(spark, root, LIVE_EVENTS.schema, latest).collect()))
+
+
+@pytest.fixture
+def logged(spark, feed, tmp_path):
+    """Eight batches, with copies of an event whose dates lie weeks apart, each a run."""
+    folder, root = tmp_path / "landing", str(tmp_path / "log")
+    folder.mkdir()
+    rows = feed[1].withColumn("event_date", F.to_date("event_ts"))
+    far = rows.limit(40).withColumns({c: F.col(c) + F.expr("INTERVAL 21 DAYS") for c in ("event_ts", "server_ts")})
+    every = tables.settle(rows.union(far.withColumn("event_date", F.to_date("event_ts"))).select(*LIVE_EVENTS.columns))
+    stream = live.event_stream(spark, str(folder)).withColumn("event_date", F.to_date("event_ts")).select(*LIVE_EVENTS.columns)
+    for k in range(8):
+        own = every.filter(F.pmod(F.xxhash64("content_id", "server_ts"), F.lit(8)) == k).drop("event_date")
+        live.zoned(own).write.mode("append").json(str(folder))
+        log.append(stream, root, f"{root}-cp", latest, availableNow=True).awaitTermination()
+    return root, sorted(map(repr, dedup.latest_copy(every).collect()))
+
+
+def test_the_log_keeps_the_latest_copy_however_far_apart(spark, logged):
+    root, want = logged
+    assert log.runs(spark, root) == [(k, k) for k in range(8)]
+    assert log_rows(spark, root) == want
+    files = {p: p.stat().st_mtime_ns for p in Path(root).rglob("*.parquet")}
+    assert log.compact(spark, root, LIVE_EVENTS.schema, latest, fan_in=4) == 2
+    # Nothing that was there is rewritten, and readers of the old runs can end.
+    assert all(p.stat().st_mtime_ns == t for p, t in files.items())
+    assert log.visible(log.runs(spark, root)) == [(0, 3), (4, 7)]
+    assert log_rows(spark, root) == want
+    assert log.compact(spark, root, LIVE_EVENTS.schema, latest, fan_in=2) == 1
+    assert log.runs(spark, root) == [(0, 3), (0, 7), (4, 7)] and log_rows(spark, root) == want
+
+
+def test_a_compaction_lost_half_way_is_not_seen_and_made_again(spark, logged):
+    root, want = logged
+    half = log._path(root, (0, 3))
+    log._read(spark, root, [(2, 2)], LIVE_EVENTS.schema).write.parquet(half)
+    Path(half, "_SUCCESS").unlink()
+    assert log.visible(log.runs(spark, root)) == [(k, k) for k in range(8)] and log_rows(spark, root) == want
+    assert log.compact(spark, root, LIVE_EVENTS.schema, latest, fan_in=4) == 2
+    assert log_rows(spark, root) == want
+    # A batch that is delivered again after its run was merged changes nothing.
+    log._read(spark, root, [(2, 2)], LIVE_EVENTS.schema).write.mode("overwrite").parquet(log._path(root, (2, 2)) + "-again")
+    assert log_rows(spark, root) == want
+
+
+def test_runs_are_rewritten_as_often_as_their_number_has_digits():
+    seen, written = [], 0
+    for batch in range(512):
+        seen.append((batch, batch))
+        while some := log.mergeable(seen, 8):
+            at = seen.index(some[0])
+            seen[at : at + 8] = [(some[0][0], some[-1][1])]
+            written += some[-1][1] - some[0][0] + 1
+    assert seen == [(0, 511)] and written == 3 * 512
+
+
+def test_an_empty_log_has_no_rows(spark, tmp_path):
+    assert log.read(spark, str(tmp_path / "none"), LIVE_EVENTS.schema, latest).count() == 0
+    assert log.compact(spark, str(tmp_path / "none"), LIVE_EVENTS.schema, latest) == 0
+
+
+def test_sketches_unite_without_the_events(spark):
+    views = spark.range(60_000).select(
+        F.lit("tv").alias("platform"), F.lit("heartbeat").alias("event_type"), (F.col("id") % 20_000).cast("string").alias("user_id"),
+        (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("id") % 7200)).alias("server_ts"),
+    )
+    parts = [sketches.minute_sketches(views.filter(F.col("user_id") % 2 == k)) for k in (0, 1, 1)]
+    stored = tables.settle(sketches.united(parts[0].union(parts[1]).union(parts[2])))
+    about = {(r.unit, str(r.start)): r.about for r in sketches.roll_up(stored).collect()}
+    assert set(about) == {("hour", "2024-01-01 00:00:00"), ("hour", "2024-01-01 01:00:00"), ("day", "2024-01-01 00:00:00"), ("week", "2024-01-01 00:00:00")}
+    for r in sketches.exact_viewers(views).collect():
+        assert abs(about[r.unit, str(r.start)] - r.viewers) <= sketches.ERROR * r.viewers

@@ -211,7 +211,8 @@ SELECT * FROM mart WHERE week_start_date = (SELECT max(week_start_date) FROM mar
     "second_load": f"SELECT * FROM playback_events WHERE server_ts >= TIMESTAMP '{SECOND_LOAD}'",
     "live_rows": f"""
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY {COPIES}) AS rn
- FROM (SELECT t.* FROM typed t, (SELECT max(server_ts) AS at FROM typed WHERE server_ts < TIMESTAMP '{LIVE_BEFORE}') n
+ FROM (SELECT t.* FROM typed t, (SELECT max(server_ts) AS at FROM typed
+     WHERE server_ts < TIMESTAMP '{LIVE_BEFORE}' AND event_type IN ('play_start', 'heartbeat') AND user_id IS NOT NULL) n
    WHERE t.server_ts > n.at - INTERVAL 5 MINUTE AND t.server_ts <= n.at)) WHERE rn = 1""",
 }
 
@@ -354,6 +355,12 @@ SELECT event_id, user_id, content_id, event_type, event_ts, server_ts, platform,
     "live_recent_viewers": _viewers("live_rows"),
     "stream_viewer_marks": _viewers("playback_events"),
     "stream_approx_viewers": f"SELECT *, TRUE AS within_error FROM ({_viewers('playback_events')})",
+    "viewers_rollup": " UNION ALL ".join(
+        f"""SELECT '{unit}' AS unit, platform, CAST(date_trunc('{unit}', server_ts) AS TIMESTAMP) AS start,
+ count(DISTINCT user_id) AS viewers, TRUE AS within_error FROM playback_events
+WHERE event_type IN ('play_start', 'heartbeat') AND user_id IS NOT NULL GROUP BY 1, 2, 3"""
+        for unit in ("hour", "day", "week")
+    ),
     "stream_sessions": _gaps("playback_events", "user_id", "server_ts"),
     "raw_sessions_scan": f"""
 SELECT * FROM (SELECT *, CAST(session_start_ts AS DATE) AS session_date FROM app_sessions)

@@ -8,12 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewpulse.functions.dates import back
+from viewpulse.functions.dates import back, epoch_seconds
 from viewpulse.functions.keys import row_hash, surrogate_key
 from viewpulse.operators import asof, dedup, dims, quality, reports, scd2, score, sessions, skew, upsert, user_day, watch, weekly
 from viewpulse.schemas import FCT_DAILY, FCT_SESSIONS, LIVE_EVENTS, MART_PLAN_PLATFORM, PLANS, RAW_EVENTS, RAW_SESSIONS, RAW_USERS, STG_EVENTS
 from viewpulse.sources import derived, files, tables
-from viewpulse.streaming import live
+from viewpulse.streaming import live, log, sketches
 
 # The derived data spans 2023-12-29 (late rows) to 2024-02-11.
 INGEST = "2024-02-12 02:00:00"
@@ -24,10 +24,9 @@ CDC_SINCE = "2024-02-01 00:00:00"
 LIVE_BEFORE = "2024-01-20 12:00:00"
 FRESH_NOW = "2024-02-11 01:00:00"
 
-# The JSON feed: files a landing folder gets, how late an event can come there, how far apart two copies can be dated.
-FEED_FILES = 4
-FEED_HORIZON = "60 days"
-COPY_DAYS = 5
+# The JSON feed: slices it is delivered in, and how late an event can come there, within the horizon of 48 hours.
+SLICES = 4
+LATE_SECONDS = 86_400
 CLOSING = "2024-12-31 00:00:00"
 
 # A bound that makes many groups of the given data hot, to run the plans for hot groups on it.
@@ -502,18 +501,30 @@ def q_dq_plan_platform(spark, sf):
 
 
 class Feed:
-    """The raw events as JSON files in a landing folder, some files a batch, and runs of a stream over them."""
+    """The raw events as JSON files in a landing folder, delivered in slices of time up to a day late, and streams over them."""
 
     def __init__(self, spark: SparkSession, sf: str):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark, self.root = spark, tables.scratch(spark)
         self.path = f"{self.root}/landing"
+        fs, path = tables.folder(spark, self.path)
+        fs.mkdirs(path)
         events = raw(spark, sf).select(*LIVE_EVENTS.columns[:-1])
-        # Copies of an event lie in different files, unless they are equally new: of those the first batch's would stay.
-        live.zoned(events).repartition(FEED_FILES, "content_id", "server_ts").write.json(self.path)
+        late = F.pmod(F.xxhash64("event_id", "server_ts"), F.lit(LATE_SECONDS))
+        events = tables.settle(events.withColumn("_at", epoch_seconds(F.col("server_ts")) + late))
+        first, last = events.agg(F.min("_at"), F.max("_at")).first()
+        self.events, self.first, self.step = events, first or 0, ((last or 0) - (first or 0)) // SLICES + 1
 
     def stream(self) -> DataFrame:
-        return live.event_stream(self.spark, self.path, files_per_trigger=FEED_FILES // 2)
+        return live.event_stream(self.spark, self.path)
+
+    def run(self, *starts: Callable) -> None:
+        """Land a slice, run each stream over what is new, and so on: a restart with every slice."""
+        for k in range(SLICES):
+            due = F.floor((F.col("_at") - self.first) / self.step) == k
+            live.zoned(self.events.filter(due).drop("_at")).write.mode("append").json(self.path)
+            for start in starts:
+                start().awaitTermination()
 
     def close(self, now: str = CLOSING) -> None:
         """A last event far behind all others: it moves the watermark past every open window."""
@@ -523,24 +534,31 @@ class Feed:
         )
         last.write.mode("append").json(self.path)
 
-    def appended(self, result: DataFrame, name: str) -> DataFrame:
-        """All rows of an append-mode result: what is there, then, after a restart, what the closing event lets out."""
+    def appending(self, result: DataFrame, name: str) -> Callable:
+        """Starts an append-mode run of `result`."""
         out = f"{self.root}/{name}"
-        for closing in (False, True):
-            if closing:
-                self.close()
-            live.append_to(result, out, f"{out}-checkpoint", availableNow=True).awaitTermination()
-        return live.unzoned(self.spark.read.schema(result.schema).parquet(out))
+        return lambda: live.append_to(result, out, f"{out}-checkpoint", availableNow=True)
+
+    def appended(self, result: DataFrame, name: str) -> DataFrame:
+        return live.unzoned(self.spark.read.schema(result.schema).parquet(f"{self.root}/{name}"))
+
+
+def _latest(df: DataFrame) -> DataFrame:
+    return dedup.latest_copy(live.unzoned(df))
 
 
 def _latest_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The log of the batches, compacted while they come in, as its readers see it."""
     feed = Feed(spark, sf)
-    events = feed.stream().withColumn("event_date", F.to_date("event_ts"))
-    run = live.maintain_latest(
-        events, feed.root, LIVE_EVENTS, f"{feed.root}/checkpoint-{LIVE_EVENTS.path}", match_days=COPY_DAYS, availableNow=True
-    )
-    run.awaitTermination()
-    return files.scan(spark, feed.root, LIVE_EVENTS)
+    out = f"{feed.root}/{LIVE_EVENTS.path}"
+    events = feed.stream().withColumn("event_date", F.to_date("event_ts")).select(*LIVE_EVENTS.columns)
+
+    def start():
+        log.compact(spark, out, LIVE_EVENTS.schema, _latest, fan_in=2)
+        return log.append(events, out, f"{out}-checkpoint", _latest, availableNow=True)
+
+    feed.run(start)
+    return log.read(spark, out, LIVE_EVENTS.schema, _latest)
 
 
 def q_stream_dedup(spark, sf):
@@ -552,40 +570,66 @@ def q_stream_concurrent_viewers(spark, sf):
 
 
 def q_live_recent_viewers(spark, sf):
-    """The five minutes up to the last event before LIVE_BEFORE; later events are there, too."""
+    """The five minutes up to the last viewing before LIVE_BEFORE; later events are there, too."""
     events = raw(spark, sf)
-    now = events.filter(F.col("server_ts") < F.lit(LIVE_BEFORE).cast("timestamp_ntz")).agg(F.max("server_ts")).first()[0]
+    seen = live.viewing(events).filter(F.col("user_id").isNotNull() & (F.col("server_ts") < F.lit(LIVE_BEFORE).cast("timestamp_ntz")))
+    now = seen.agg(F.max("server_ts")).first()[0]
     return live.unzoned(live.concurrent_viewers(live.recent_latest(events, now)))
 
 
-def _marked_viewers(feed: Feed) -> DataFrame:
-    out = f"{feed.root}/marks"
-    # The files are not in order of time, so the watermark has to wait for all of them.
-    marks = live.viewer_marks(feed.stream(), horizon=FEED_HORIZON)
-    live.append_to(marks, out, f"{out}-checkpoint", availableNow=True).awaitTermination()
-    seen = feed.spark.read.schema(marks.schema).parquet(out)
-    return live.unzoned(seen.groupBy("platform", "minute").agg(F.count("user_id").alias("concurrent_viewers")))
+def _counted(marks: DataFrame) -> DataFrame:
+    return marks.groupBy("platform", "minute").agg(F.count("user_id").alias("concurrent_viewers"))
 
 
 def q_stream_viewer_marks(spark, sf):
-    return _marked_viewers(Feed(spark, sf))
+    feed = Feed(spark, sf)
+    marks = live.viewer_marks(feed.stream())
+    feed.run(feed.appending(marks, "marks"))
+    return _counted(feed.appended(marks, "marks"))
 
 
 def q_stream_approx_viewers(spark, sf):
     """Viewers per minute, and whether the sketch is within three times its error of 5 %, or one viewer."""
     feed = Feed(spark, sf)
-    exact = _marked_viewers(feed)
-    approx = feed.appended(live.approx_viewers(feed.stream(), horizon=FEED_HORIZON), "approx")
-    about = approx.select("platform", "minute", F.col("concurrent_viewers").alias("about"))
+    marks, approx = live.viewer_marks(feed.stream()), live.approx_viewers(feed.stream())
+    counting = feed.appending(approx, "approx")
+    feed.run(feed.appending(marks, "marks"), counting)
+    feed.close()
+    counting().awaitTermination()
+    exact = _counted(feed.appended(marks, "marks"))
+    about = feed.appended(approx, "approx").select("platform", "minute", F.col("concurrent_viewers").alias("about"))
     off = F.abs(F.col("about") - F.col("concurrent_viewers"))
     within = F.coalesce(off <= F.greatest(F.lit(1.0), 0.15 * F.col("concurrent_viewers")), F.lit(False))
-    return exact.join(about, ["platform", "minute"], "full").select("platform", "minute", "concurrent_viewers", within.alias("within_error"))
+    joined = exact.join(about, ["platform", "minute"], "full")
+    return joined.filter("platform <> 'none'").select("platform", "minute", "concurrent_viewers", within.alias("within_error"))
+
+
+def q_viewers_rollup(spark, sf):
+    """Viewers per hour, day and week, and whether the stored minutes' sketches roll up to them within three standard errors."""
+    feed = Feed(spark, sf)
+    out = f"{feed.root}/sketches"
+    events = feed.stream().select("platform", "event_type", "user_id", "server_ts")
+
+    def start():
+        log.compact(spark, out, sketches.SKETCHES, sketches.united, fan_in=2)
+        return log.append(events, out, f"{out}-checkpoint", lambda batch: sketches.minute_sketches(live.unzoned(batch)), availableNow=True)
+
+    feed.run(start)
+    rolled = sketches.roll_up(log.read(spark, out, sketches.SKETCHES, sketches.united))
+    exact = sketches.exact_viewers(feed.events)
+    off = F.abs(F.col("about") - F.col("viewers"))
+    within = F.coalesce(off <= F.greatest(F.lit(1.0), sketches.ERROR * F.col("viewers")), F.lit(False))
+    return exact.join(rolled, ["unit", "platform", "start"], "full").select("unit", "platform", "start", "viewers", within.alias("within_error"))
 
 
 def q_stream_sessions(spark, sf):
-    """Sessions of devices' users by inactivity, from JSON files over several batches and a restart, in append mode."""
+    """Sessions of devices' users by inactivity, from JSON files over several batches and restarts, in append mode."""
     feed = Feed(spark, sf)
-    found = live.session_windows(feed.stream(), "user_id", "server_ts", horizon=FEED_HORIZON)
+    found = live.session_windows(feed.stream(), "user_id", "server_ts")
+    closed = feed.appending(found, "sessions")
+    feed.run(closed)
+    feed.close()
+    closed().awaitTermination()
     return feed.appended(found, "sessions").filter("user_id IS NULL OR user_id <> 'closing'")
 
 

@@ -29,13 +29,13 @@ _own: dict[str, str] = {}
 _settled: dict[str, list[str]] = {}
 
 
-def _folder(spark: SparkSession, path: str):
+def folder(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
 def exists(spark: SparkSession, root: str, table: Table) -> bool:
-    fs, p = _folder(spark, f"{root}/{table.path}")
+    fs, p = folder(spark, f"{root}/{table.path}")
     return fs.exists(p)
 
 
@@ -68,7 +68,7 @@ def settle(df: DataFrame, partition: str | None = None) -> DataFrame:
 def release(spark: SparkSession) -> None:
     """Remove the tables `settle` has left, when what was made from them has been read or written."""
     for path in _settled.pop(spark.sparkContext.applicationId, []):
-        _remove(spark, path)
+        remove(spark, path)
 
 
 @contextmanager
@@ -76,7 +76,7 @@ def settled(df: DataFrame) -> Iterator[DataFrame]:
     """As `settle`; the staging table goes when the block has succeeded. After a failure it stays for recovery."""
     staged, path = _stage(df)
     yield staged
-    _remove(df.sparkSession, path)
+    remove(df.sparkSession, path)
 
 
 def _stage(df: DataFrame, partition: str | None = None) -> tuple[DataFrame, str]:
@@ -89,8 +89,8 @@ def _stage(df: DataFrame, partition: str | None = None) -> tuple[DataFrame, str]
     return spark.read.schema(df.schema).parquet(path).select(*df.columns), path
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    fs, p = _folder(spark, path)
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = folder(spark, path)
     fs.delete(p, True)
 
 
@@ -151,7 +151,7 @@ def stored_dates(spark: SparkSession, root: str, table: Table) -> list[str]:
     """Dates of a stored table, from its folders; no file is opened. The folder of missing dates is left out."""
     if not exists(spark, root, table):
         return []
-    fs, p = _folder(spark, f"{root}/{table.path}")
+    fs, p = folder(spark, f"{root}/{table.path}")
     values = [s.getPath().getName().partition("=")[2] for s in fs.listStatus(p) if s.isDirectory()]
     return sorted(v for v in values if v and not v.startswith("__"))
 
@@ -210,7 +210,7 @@ def _merge_days(source: DataFrame, root: str, table: Table, newer: str | None, m
 def _drop(spark: SparkSession, root: str, table: Table, dates: Iterable) -> None:
     for d in dates:
         value = "__HIVE_DEFAULT_PARTITION__" if d is None else d
-        _remove(spark, f"{root}/{table.path}/{table.partition}={value}")
+        remove(spark, f"{root}/{table.path}/{table.partition}={value}")
 
 
 def drop_days(spark: SparkSession, root: str, table: Table, first: DateLike, last: DateLike) -> None:

@@ -52,8 +52,8 @@ def maintain_latest(
 
     Each batch is deduplicated and merged with the rule "greater server_ts wins", so a batch delivered twice changes
     nothing. `match_days` bounds how far back a batch looks for earlier copies, e.g. the late-data horizon. A merge
-    rewrites the dates it touches, so give it batches of minutes or more; a dashboard refreshed every few seconds reads an
-    append-only log through `recent_latest` instead.
+    rewrites the dates it touches, so give it batches of minutes or more; batches every few seconds go to an append-only log
+    (`viewpulse.streaming.log`), from which a dashboard reads through `recent_latest`.
     """
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
