@@ -66,6 +66,15 @@ STG_SESSIONS = Table(
     partition="session_date",
 )
 
+# What a night has changed, kept under its date: groups of events, user-days, and dates whose scores moved.
+TOUCHED_SESSIONS = Table(
+    "staging/touched_sessions", "event_date date, session_id string, night date", keys=("event_date", "session_id", "night"), partition="night"
+)
+TOUCHED_DAYS = Table(
+    "staging/touched_days", "activity_date date, user_id string, night date", keys=("activity_date", "user_id", "night"), partition="night"
+)
+RESCORED_DAYS = Table("staging/rescored_days", "activity_date date, night date", keys=("activity_date", "night"), partition="night")
+
 DIM_USER = Table(
     "curated/dim_user",
     f"user_surr_key string, {_USER}, row_hash string, valid_from timestamp_ntz, valid_to timestamp_ntz, is_current boolean",
@@ -123,7 +132,8 @@ MART_PLAN_PLATFORM = Table(
 )
 
 ALL_TABLES = [
-    RAW_EVENTS, RAW_USERS, RAW_CONTENT, RAW_SESSIONS, STG_EVENTS, STG_SESSIONS, DIM_USER, DIM_CONTENT, DIM_DATE,
+    RAW_EVENTS, RAW_USERS, RAW_CONTENT, RAW_SESSIONS, STG_EVENTS, STG_SESSIONS, TOUCHED_SESSIONS, TOUCHED_DAYS,
+    RESCORED_DAYS, DIM_USER, DIM_CONTENT, DIM_DATE,
     FCT_PLAYBACK, FCT_SESSIONS, FCT_DAILY, MART_WEEKLY, MART_PLAN_PLATFORM,
 ]
 

@@ -130,12 +130,38 @@ def replace_days(df: DataFrame, root: str, table: Table) -> None:
 def replace_range(df: DataFrame, root: str, table: Table, first: DateLike, last: DateLike | None = None) -> None:
     """Make `df` the whole content of the dates first..last (without `last`: of all later dates): what it lacks goes."""
     with settled(df) as staged:
-        kept = {str(d) for d in _dates(staged, table.partition)}
+        kept = {str(d) for d in partition_dates(staged, table.partition)}
         replace_days(staged, root, table)
         held = [d for d in stored_dates(df.sparkSession, root, table) if str(first) <= d and (last is None or d <= str(last))]
         _drop(df.sparkSession, root, table, set(held) - kept)
 
 
+def on_dates(df: DataFrame, table: Table, dates: Iterable) -> DataFrame:
+    """Rows of the listed partition dates, null among them if listed; the list prunes the folders that are read."""
+    dates = list(dates)
+    part = F.col(table.partition)
+    known = part.isin([d for d in dates if d is not None])
+    return df.filter(F.coalesce(known, F.lit(True)) if None in dates else known)
+
+
+def replace_groups(fresh: DataFrame, root: str, table: Table, groups: DataFrame, dates: Iterable) -> None:
+    """Make `fresh` all there is of the key groups in `groups`, which lie on `dates`; other groups and dates stay.
+
+    The other rows of these dates are carried over, not computed again. A date that is left without rows goes.
+    """
+    spark, dates = fresh.sparkSession, list(dates)
+    if not dates:
+        return
+    if not exists(spark, root, table):
+        overwrite(fresh, root, table)
+        return
+    held = on_dates(scan(spark, root, table), table, dates)
+    same = reduce(lambda a, b: a & b, [held[c].eqNullSafe(groups[c]) for c in groups.columns])
+    with settled(held.join(groups, same, "left_anti").unionByName(fresh.select(*table.columns))) as merged:
+        replace_days(merged, root, table)
+        _drop(spark, root, table, set(dates) - set(partition_dates(merged, table.partition)))
+
+
 def append(df: DataFrame, root: str, table: Table) -> None:
     out = by_partition(df, table).select(*table.columns).write.mode("append")
     (out.partitionBy(table.partition) if table.partition else out).parquet(f"{root}/{table.path}")
@@ -156,7 +182,7 @@ def stored_dates(spark: SparkSession, root: str, table: Table) -> list[str]:
     return sorted(v for v in values if v and not v.startswith("__"))
 
 
-def _dates(df: DataFrame, column: str) -> list:
+def partition_dates(df: DataFrame, column: str) -> list:
     """Distinct partition dates: one row per day of data."""
     return [r[0] for r in df.select(column).distinct().collect()]
 
@@ -188,7 +214,7 @@ def _merge(target: DataFrame, source: DataFrame, table: Table, newer: str | None
 
 def _merge_days(source: DataFrame, root: str, table: Table, newer: str | None, match_days: int | None) -> None:
     spark, part = source.sparkSession, table.partition
-    touched = set(_dates(source, part))
+    touched = set(partition_dates(source, part))
     known = [d for d in touched if d is not None]
     if not touched:
         return
@@ -197,14 +223,14 @@ def _merge_days(source: DataFrame, root: str, table: Table, newer: str | None, m
     if part not in table.keys:
         keys = source.select(*table.keys)
         same = reduce(lambda a, b: a & b, [target[k].eqNullSafe(keys[k]) for k in table.keys])
-        touched |= set(_dates(target.join(keys, same, "left_semi"), part))
+        touched |= set(partition_dates(target.join(keys, same, "left_semi"), part))
     held = F.col(part).isin([d for d in touched if d is not None])
     if None in touched:
         held = F.coalesce(held, F.lit(True))
     with settled(_merge(target.filter(held), source, table, newer)) as merged:
         replace_days(merged, root, table)
         # A date whose last row moved elsewhere is not in the result and has to go as a whole.
-        _drop(spark, root, table, touched - set(_dates(merged, part)))
+        _drop(spark, root, table, touched - set(partition_dates(merged, part)))
 
 
 def _drop(spark: SparkSession, root: str, table: Table, dates: Iterable) -> None:
