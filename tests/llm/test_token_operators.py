@@ -171,26 +171,38 @@ def test_index_ranks_by_bm25():
     assert 3 not in index.neighbours(np.array([1, 2, 7], np.uint16))
 
 
-def test_related_documents_are_the_first_of_the_full_ranking():
-    """Completing the scores of candidates alone changes neither which documents come first nor their order."""
+@pytest.mark.parametrize("frequent", [1, 6, 1000])
+def test_the_ranking_is_that_of_scores_added_by_hand(monkeypatch, frequent):
+    """Rows, postings and shrinking change neither which documents come first nor their order."""
+    monkeypatch.setattr(packing, "FREQUENT", frequent)
     r = np.random.default_rng(6)
     for n in (3, 70, 400):
         chance = np.concatenate([np.full(20, 0.8), np.full(150, 0.06)])
         has = r.random((n, len(chance))) < chance
         has[:, 0] = True
+        has[1] = has[0]
         docs = [np.flatnonzero(row).astype(np.uint16) for row in has]
         counts = [r.integers(1, 9, len(d)).astype(np.uint32) for d in docs]
+        counts[1] = counts[0]
+        tokens = r.integers(20, 200, n)
+        tokens[1] = tokens[0]
         df = has.sum(0)
         corpus = packing.Corpus(np.log1p((n - df + 0.5) / (df + 0.5)), 60.0)
-        index = packing.Index(corpus, docs, counts, r.integers(20, 200, n).tolist())
+        index = packing.Index(corpus, docs, counts, tokens.tolist())
+        weights = np.zeros(has.shape)
+        for i in range(n):
+            weights[i, docs[i]] = corpus.weights(docs[i], counts[i].astype(float), tokens[i])
         for seed in range(n):
             index.unused[seed] = False
-            ranking = index.neighbours(docs[seed])
+            score = np.round(weights[:, docs[seed]].sum(1), 9)
             shares = has[:, has[seed] & corpus.telling].any(1)
+            want = [i for i in np.argsort(-score, kind="stable").tolist() if index.unused[i]]
+            assert np.round(score[index.neighbours(docs[seed])], 9).tolist() == score[want].tolist()
             for most in (1, 5, 64):
-                got = index.related(docs[seed], most).tolist()
-                assert got == [i for i in ranking.tolist() if shares[i]][: len(got)]
-                assert len(got) >= min(most, int((shares & index.unused).sum()))
+                got = index.neighbours(docs[seed], related=True, most=most).tolist()
+                near = [i for i in want if shares[i]]
+                assert score[got].tolist() == score[near[: len(got)]].tolist() and all(shares[got])
+                assert len(got) >= min(most, len(near))
             if seed % 7 == 0:
                 index.shrink()
 

@@ -31,6 +31,8 @@ WINDOW = 1024
 END_ID = 0
 #: Postings (distinct terms of documents) of a shard. Ranges are cut by sampling; an index never holds over twice as many.
 SHARD_POSTINGS = 1 << 20
+#: A term that more than one in so many documents of an index have is a row of its matrix.
+FREQUENT = 10
 #: Neighbours sorted at a time; a window that takes more of them asks again.
 NEAREST = 64
 #: Partition number from which on the second round counts its windows.
@@ -142,7 +144,11 @@ def _keyed(shared, after: int):
 
 
 class Index:
-    """Inverted index of the documents of one shard."""
+    """Inverted index of the documents of one shard.
+
+    Terms that a good part of the documents have are rows of a matrix, which add up as vectors; the others have postings. Both
+    hold unused documents only, as far as `shrink` has got, and number them anew.
+    """
 
     def __init__(self, corpus: Corpus, terms: list[np.ndarray], counts: list[np.ndarray], tokens: list[int]):
         sizes = np.array([len(t) for t in terms])
@@ -150,79 +156,61 @@ class Index:
         of = np.repeat(np.arange(len(terms)), sizes)
         w = corpus.weights(flat, np.concatenate(counts).astype(np.float64), np.repeat(np.array(tokens), sizes))
         order = np.argsort(flat, kind="stable")
-        self.docs, self.w = of[order], w[order]
-        self.vocabulary, self.begins = np.unique(flat[order], return_index=True)
-        self.ends = np.append(self.begins[1:], len(flat))
-        self.unused = np.ones(len(terms), bool)
+        self.vocabulary, begins = np.unique(flat[order], return_index=True)
         self.telling = corpus.telling[self.vocabulary]
-        self.held = len(terms)
-        # What the documents have of the other terms, by document, and the most that each of these can weigh.
-        common = ~corpus.telling[flat]
-        self.own_terms, self.own_w = flat[common], w[common]
-        self.own_starts = np.concatenate([[0], np.cumsum(np.bincount(of[common], minlength=len(terms)))])
-        self.most_w = np.maximum.reduceat(self.w, self.begins)
-        self.asked = np.zeros(len(corpus.idf), bool)
+        self.unused = np.ones(len(terms), bool)
+        self._hold(np.arange(len(terms)), of[order], w[order], np.append(begins, len(flat)))
+
+    def _hold(self, held: np.ndarray, docs: np.ndarray, w: np.ndarray, bounds: np.ndarray) -> None:
+        """`held`: the documents' places in the shard; postings of `docs` (places in `held`) between each two `bounds`."""
+        self.held, self.docs, self.w, self.bounds = held, docs, w, bounds
+        frequent = np.flatnonzero(np.diff(bounds) * FREQUENT > len(held))
+        self.row = np.full(len(self.vocabulary), -1)
+        self.row[frequent] = np.arange(len(frequent))
+        # At most `FREQUENT` times as many cells as there are postings.
+        self.rows = np.zeros((len(frequent), len(held)))
+        for r, (a, b) in enumerate(zip(bounds[frequent].tolist(), bounds[frequent + 1].tolist(), strict=True)):
+            self.rows[r, docs[a:b]] = w[a:b]
 
     def shrink(self) -> None:
-        """Drop the postings of used documents once these are half of those in the index."""
-        left = int(self.unused.sum())
-        if left * 2 > self.held:
+        """Drop used documents once they are half of those held."""
+        keep = self.unused[self.held]
+        if int(keep.sum()) * 2 > len(self.held):
             return
-        keep = self.unused[self.docs]
-        before = np.concatenate([[0], np.cumsum(keep)])
-        self.begins, self.ends = before[self.begins], before[self.ends]
-        self.docs, self.w, self.held = self.docs[keep], self.w[keep], left
-
-    def _postings(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Documents and weights of the terms at these places of the vocabulary, one term behind the other."""
-        spans = list(zip(self.begins[at].tolist(), self.ends[at].tolist(), strict=True))
-        if not spans:
-            return self.docs[:0], self.w[:0]
-        return np.concatenate([self.docs[a:b] for a, b in spans]), np.concatenate([self.w[a:b] for a, b in spans])
-
-    def _places(self, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the query's terms in the vocabulary: telling ones, others."""
+        numbers = np.cumsum(keep) - 1
+        stay = keep[self.docs]
+        before = np.concatenate([[0], np.cumsum(stay)])
+        self._hold(self.held[keep], numbers[self.docs[stay]], self.w[stay], before[self.bounds])
+
+    def _sum(self, at: np.ndarray) -> np.ndarray:
+        """Weights of the terms at these places of the vocabulary, for each document held."""
+        rows = self.row[at]
+        spans = [(self.bounds[i], self.bounds[i + 1]) for i in at[rows < 0].tolist()]
+        if spans:
+            docs, w = (np.concatenate([x[a:b] for a, b in spans]) for x in (self.docs, self.w))
+            total = np.bincount(docs, w, len(self.held)).astype(np.float64, copy=False)
+        else:
+            total = np.zeros(len(self.held))
+        for r in rows[rows >= 0].tolist():
+            total += self.rows[r]
+        return total
+
+    def neighbours(self, query: np.ndarray, related: bool = False, most: int | None = None) -> np.ndarray:
+        """Unused documents, best first by BM25 for the query's terms; ties in the order of the shard. `related`: only those
+        that share a telling term with the query. `most`: so many at least, if there are."""
         at = np.searchsorted(self.vocabulary, query)
         at[at == len(self.vocabulary)] = 0
         at = at[self.vocabulary[at] == query]
-        telling = self.telling[at]
-        return at[telling], at[~telling]
-
-    def neighbours(self, query: np.ndarray, most: int | None = None) -> np.ndarray:
-        """Unused documents, best first by BM25 for the query's terms; ties in the order of the shard. `most`: so many at least."""
-        scores = np.bincount(*self._postings(np.concatenate(self._places(query))), len(self.unused))
-        left = np.flatnonzero(self.unused)
+        telling = self._sum(at[self.telling[at]])
+        wanted = self.unused[self.held]
+        left = np.flatnonzero(wanted & (telling > 0) if related else wanted)
+        if not len(left):
+            return left
+        scores = (telling + self._sum(at[~self.telling[at]]))[left]
         if most is not None and len(left) > most:
-            left = left[scores[left] >= np.partition(scores[left], -most)[-most]]
-        return left[np.argsort(-scores[left], kind="stable")]
-
-    def related(self, query: np.ndarray, most: int) -> np.ndarray:
-        """The first of the unused documents that share a telling term with the query, in the same order: `most` at least,
-        if there are so many.
-
-        Only the postings of telling terms are added up. What the other terms could still add decides which documents can be
-        among the first; the scores of these are completed from their own terms, added in the same order.
-        """
-        telling, others = self._places(query)
-        docs, w = self._postings(telling)
-        if not len(docs):
-            return docs
-        scores = np.bincount(docs, w, len(self.unused))
-        left = np.flatnonzero((scores > 0) & self.unused)
-        if len(left) > most:
-            least = np.partition(scores[left], -most)[-most] - self.most_w[others].sum()
-            left = left[scores[left] >= least - 1e-9 * abs(least)]
-        n = np.arange(len(left))
-        sizes = self.own_starts[left + 1] - self.own_starts[left]
-        at = np.arange(sizes.sum()) + np.repeat(self.own_starts[left] - (np.cumsum(sizes) - sizes), sizes)
-        self.asked[query] = True
-        hit = self.asked[self.own_terms[at]]
-        self.asked[query] = False
-        whole = np.bincount(np.concatenate([n, np.repeat(n, sizes)[hit]]), np.concatenate([scores[left], self.own_w[at[hit]]]), len(left))
-        if len(left) > most:
-            first = whole >= np.partition(whole, -most)[-most]
-            left, whole = left[first], whole[first]
-        return left[np.argsort(-whole, kind="stable")]
+            first = scores >= np.partition(scores, -most)[-most]
+            left, scores = left[first], scores[first]
+        return self.held[left[np.argsort(-scores, kind="stable")]]
 
 
 @dataclass
@@ -286,11 +274,11 @@ class Windows:
                 self.place(docs[following])
                 continue
             index.shrink()
-            found = index.related(self.seed, NEAREST)
+            found = index.neighbours(self.seed, related=True, most=NEAREST)
             if not len(found) and not last:
                 given_back += self.undo()
                 continue
-            for i in found if len(found) else index.neighbours(self.seed, NEAREST):
+            for i in found if len(found) else index.neighbours(self.seed, most=NEAREST):
                 index.unused[i] = False
                 if self.place(docs[i]):
                     break
