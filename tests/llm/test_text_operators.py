@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 import time
 import zlib
 
@@ -206,6 +207,8 @@ def test_licence_places(spark):
         ("MIT", ["mit"], True), ("GPL-2.0-only OR MIT", ["gpl-2.0-only", "mit"], True), ("GPL-2.0+ AND MIT", ["gpl-2.0+", "mit"], False),
         ("MIT OR GPL-2.0-only AND ISC", ["mit", "gpl-2.0-only", "isc"], True), ("(MIT OR GPL-2.0-only) AND LGPL-3.0-only", ["mit", "gpl-2.0-only", "lgpl-3.0-only"], False),
         ("GPL-2.0-only WITH Classpath-exception-2.0", ["gpl-2.0-only with classpath-exception-2.0"], False), ("MIT */ int x;", ["mit"], True),
+        ("MIT and see the file", ["mit"], True), ("Apache-2.0 or later", ["apache-2.0"], True), ("GPL-2.0 with modifications", ["gpl-2.0"], False),
+        ("DocumentRef-a:LicenseRef-b OR (MIT AND see", ["documentref-a:licenseref-b"], False), ("GPL-2.0 WITH Linux-syscall-note OR MIT.", ["gpl-2.0 with linux-syscall-note", "mit"], True),
     ],
 )
 def test_expressions(text, ids, permissive):
@@ -213,18 +216,33 @@ def test_expressions(text, ids, permissive):
     assert (value.ids, value.permissive) == (ids, permissive)
 
 
-@pytest.mark.parametrize("text", ["", "AND MIT", "(MIT", "MIT OR", "OR"])
+@pytest.mark.parametrize("text", ["", "AND MIT", "(MIT", "MIT OR", "OR", "GPL-2.0 WITH (A OR B)", "(MIT OR GPL-2.0) WITH Classpath-exception-2.0", "see the file", "(see MIT)", "()", "MIT WITH"])
 def test_what_is_no_expression(text):
     assert licenses.parse_expression(text) is None
 
 
 def test_expressions_are_kept_whole_and_without_prose(spark):
-    long = "( " + " OR ".join(f"( L-{k}.0 AND MIT )" for k in range(60)) + " )"
+    long = "( " + " OR ".join(f"( LicenseRef-{k}.0 AND MIT )" for k in range(60)) + " )"
     docs = spark.createDataFrame([(1, f"SPDX-License-Identifier: {long} */ int x;\n// spdx-license-identifier: (MIT OR ISC) see the file COPYING\n# SPDX-License-Identifier: Zlib. More")], "doc_id bigint, text string")
     (row,) = licenses.scan_licenses(docs).collect()
     assert row.expressions == [long, "( MIT OR ISC )", "Zlib"]
 
 
+def test_base_places_against_looking_at_every_word(spark, given):
+    """The places of the base phrases by comparing them at every word, on the given texts and on short made ones."""
+    r = random.Random(9)
+    bits = ["cc", "by", "general", "public", "license", "all", "rights", "reserved", "CC", "é", "x\x7fy", "By"]
+    rows = given + [(10**6 + i, "".join(r.choice(bits) + r.choice([" ", "-", "\n", ", ", "\x7f"]) for _ in range(r.randint(0, 25)))) for i in range(300)]
+    found = {x.doc_id: x for x in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    phrases = {tuple(p.split()): label for p, label in licenses.BASE_PHRASES.items()}
+    for i, text in rows:
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", brute.lower(text or ""))
+        places = [(at, label) for at in range(len(words)) for p, label in phrases.items() if tuple(words[at : at + len(p)]) == p]
+        starts = [at for at, _ in places]
+        want = (len(words), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in places})))
+        assert (found[i].n_words, found[i].n_base, found[i].first_word, found[i].last_word, found[i].base_labels) == want, text
+
+
 def test_licences_of_awkward_rows(spark, given):
     docs = brute.awkward_documents(spark)
     assert licenses.scan_licenses(docs).count() == docs.count()
