@@ -73,11 +73,29 @@ def _days(daily: DataFrame, users: DataFrame, first: DateLike, last: DateLike) -
     return with_current_plan(window.drop("engagement_score"), users)
 
 
-def rescore(daily: DataFrame, users: DataFrame, as_of: DateLike) -> DataFrame:
-    """The user-days of the 28 days ending at `as_of` with new scores: the rows pass through, nothing is joined back."""
-    days = _days(daily, users, back(as_of, WINDOW_DAYS - 1), as_of)
+def cells_of(planned: DataFrame) -> DataFrame:
+    """User-days with plan_segment folded to counts by day, plan and measures; counts of days add up."""
+    return planned.groupBy("activity_date", "plan_segment", *METRICS).agg(F.count(F.lit(1)).alias("n"))
+
+
+def moved_cells(daily: DataFrame, moved: DataFrame) -> DataFrame:
+    """What changes of plan (user_id, old_plan, new_plan) do to the counts: out of the old plan, into the new one."""
+    sides = F.array(*[F.struct(F.col(c).alias("plan"), F.lit(n).cast("bigint").alias("n")) for c, n in (("old_plan", -1), ("new_plan", 1))])
+    placed = daily.join(moved, "user_id").select("activity_date", *METRICS, F.explode(sides).alias("side"))
+    plan = F.coalesce("side.plan", F.lit(UNKNOWN_PLAN)).alias("plan_segment")
+    return placed.groupBy("activity_date", plan, *METRICS).agg(F.sum("side.n").alias("n")).filter("n <> 0")
+
+
+def rescore(daily: DataFrame, users: DataFrame, as_of: DateLike, cells: DataFrame | None = None) -> DataFrame:
+    """The user-days of the 28 days ending at `as_of` with new scores: the rows pass through, nothing is joined back.
+
+    `cells` are stored counts of the window's days; without them they are made from the user-days.
+    """
+    first = back(as_of, WINDOW_DAYS - 1)
+    days = _days(daily, users, first, as_of)
     keys = ["plan_segment", *METRICS]
-    cells = days.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    counted = cells_of(days) if cells is None else cells.filter(between_days(F.col("activity_date"), first, as_of))
+    cells = counted.groupBy(*keys).agg(F.sum("n").alias("n")).filter("n <> 0")
     return _look_up(days, _score(cells, {m: cells for m in METRICS}, ["plan_segment"]), keys)
 
 
@@ -89,8 +107,7 @@ def rescore_range(daily: DataFrame, users: DataFrame, first: DateLike, last: Dat
     them, never the user-days.
     """
     days = _days(daily, users, back(first, WINDOW_DAYS - 1), last)
-    cells = days.groupBy("activity_date", "plan_segment", *METRICS).agg(F.count(F.lit(1)).alias("n"))
-
+    cells = cells_of(days)
     reach = F.least(F.date_add("activity_date", WINDOW_DAYS - 1), day(last))
     runs = F.sequence(F.greatest("activity_date", day(first)), reach, F.expr("INTERVAL 1 DAY"))
     # Counts per day and single metric are small; three narrow tables instead of repeating the combinations.

@@ -171,7 +171,7 @@ LEFT JOIN main_platform p ON p.user_id = t.user_id AND p.activity_date = t.activ
     "planned": """
 SELECT d.*, coalesce(u.current_plan, 'unknown') AS plan_segment FROM days d
 LEFT JOIN (SELECT user_id, current_plan FROM dim WHERE is_current) u ON d.user_id = u.user_id""",
-    "window_days": f"SELECT * FROM planned WHERE activity_date BETWEEN DATE '{LAST_DAY}' - 27 AND DATE '{LAST_DAY}'",
+    "window_days": f"SELECT * FROM planned WHERE activity_date > (SELECT max(activity_date) FROM days) - 28",
     "window_scores": _scored("window_days", "plan_segment"),
     "runs": "SELECT CAST(unnest(generate_series(min(activity_date), max(activity_date), INTERVAL 1 DAY)) AS DATE) AS as_of FROM planned",
     "run_days": "SELECT r.as_of, p.* FROM planned p JOIN runs r ON p.activity_date BETWEEN r.as_of - 27 AND r.as_of",
@@ -277,7 +277,7 @@ SELECT content_id, title, content_type, genre, language, CAST(duration_sec AS BI
 SELECT plan_segment, count(DISTINCT user_id) AS users, min(engagement_score) AS min_score, max(engagement_score) AS max_score,
  {number(half_up("sum(engagement_score)", "count(engagement_score)", 1), 1)} AS avg_score,
  round(stddev_samp(engagement_score), 2) AS stddev_score
-FROM scored_days WHERE activity_date >= DATE '{LAST_DAY}' - 7 GROUP BY 1""",
+FROM scored_days WHERE activity_date >= (SELECT max(activity_date) FROM days) - 7 GROUP BY 1""",
     "weekly_mart": _mart_rows("mart"),
     "weekly_mart_dormant": f"{_mart_rows('mart_absent')} WHERE week_start_date >= (SELECT min(ws) + 7 FROM span_weeks)",
     "weekly_plan_platform": "SELECT * FROM plan_platform_growth",
@@ -320,7 +320,7 @@ UNION ALL SELECT device_id, count(*), max(server_ts) FROM second_load GROUP BY 1
     "update_matched": f"""
 SELECT d.user_id, d.activity_date, {number("d.min_c")} AS total_watch_time_min, s.engagement_score FROM days d
 LEFT JOIN window_scores s ON d.user_id = s.user_id AND d.activity_date = s.activity_date""",
-    "replay_and_retain": f"{_SESSIONS} WHERE session_date > DATE '{LAST_DAY}' - 30",
+    "replay_and_retain": f"{_SESSIONS} WHERE session_date > (SELECT max(session_date) FROM session_rows) - 30",
     "clustered_layout": _SESSIONS,
     "dq_events": _checks(
         "facts",
@@ -382,7 +382,7 @@ FROM (SELECT segment, plan, WOW AS wow FROM newest GROUP BY 1, 2)""".replace("WO
     "score_validation_order": f"""
 SELECT row_number() OVER (ORDER BY avg_score DESC NULLS LAST, plan_segment) AS position, plan_segment, avg_score FROM (
  SELECT plan_segment, {number(half_up("sum(engagement_score)", "count(engagement_score)", 1), 1)} AS avg_score
- FROM scored_days WHERE activity_date >= DATE '{LAST_DAY}' - 7 GROUP BY 1)""",
+ FROM scored_days WHERE activity_date >= (SELECT max(activity_date) FROM days) - 7 GROUP BY 1)""",
     "gate_events": """
 SELECT name, passed, name <> 'watch_time_over_300s' AS stops, name <> 'watch_time_over_300s' AND NOT passed AS blocks FROM (CHECKS)""".replace(
         "CHECKS",
@@ -404,6 +404,7 @@ FROM days GROUP BY 1, 2""",
 
 
 QUERIES["report_csv"] = QUERIES["segment_velocity"]
+QUERIES["nightly_late_data"] = QUERIES["weekly_mart"]
 for _plan in ("watch_time", "scd2_history", "asof_plan_event", "device_link"):
     QUERIES[f"{_plan}_hot"] = QUERIES[_plan]
 

@@ -75,6 +75,10 @@ TOUCHED_DAYS = Table(
 )
 RESCORED_DAYS = Table("staging/rescored_days", "activity_date date, night date", keys=("activity_date", "night"), partition="night")
 
+TOUCHED_PLANS = Table(
+    "staging/touched_plans", "user_id string, old_plan string, new_plan string, night date", keys=("user_id", "night"), partition="night"
+)
+
 DIM_USER = Table(
     "curated/dim_user",
     f"user_surr_key string, {_USER}, row_hash string, valid_from timestamp_ntz, valid_to timestamp_ntz, is_current boolean",
@@ -112,6 +116,14 @@ FCT_DAILY = Table(
     partition="activity_date",
     cluster=("user_id",),
 )
+# User-days by day, plan and measures: what scores are ranked in. Rows of a day add up; later nights add what plan changes move.
+SCORE_CELLS = Table(
+    "curated/score_cells",
+    """activity_date date, night date, plan_segment string, total_watch_time_min decimal(18,2), session_count bigint,
+    distinct_genre_count bigint, n bigint""",
+    keys=("activity_date", "night", "plan_segment", "total_watch_time_min", "session_count", "distinct_genre_count"),
+    partition="activity_date",
+)
 MART_WEEKLY = Table(
     "marts/mart_user_engagement_weekly",
     """user_id string, week_start_date date, week_end_date date, user_plan_at_week_start string,
@@ -133,8 +145,8 @@ MART_PLAN_PLATFORM = Table(
 
 ALL_TABLES = [
     RAW_EVENTS, RAW_USERS, RAW_CONTENT, RAW_SESSIONS, STG_EVENTS, STG_SESSIONS, TOUCHED_SESSIONS, TOUCHED_DAYS,
-    RESCORED_DAYS, DIM_USER, DIM_CONTENT, DIM_DATE,
-    FCT_PLAYBACK, FCT_SESSIONS, FCT_DAILY, MART_WEEKLY, MART_PLAN_PLATFORM,
+    RESCORED_DAYS, TOUCHED_PLANS, DIM_USER, DIM_CONTENT, DIM_DATE,
+    FCT_PLAYBACK, FCT_SESSIONS, FCT_DAILY, SCORE_CELLS, MART_WEEKLY, MART_PLAN_PLATFORM,
 ]
 
 LIVE_EVENTS = Table(
