@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import json
+from dataclasses import replace
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from viewpulse.operators import dedup
-from viewpulse.schemas import ALL_TABLES, DIM_USER, FCT_SESSIONS, STG_EVENTS, RAW_EVENTS
+from viewpulse.schemas import ALL_TABLES, DIM_USER, FCT_PLAYBACK, FCT_SESSIONS, RAW_EVENTS, STG_EVENTS
 from viewpulse.sources import files, tables
 
 EVENT = (
@@ -161,3 +163,30 @@ def test_staging_survives_a_failure(spark, make):
         raise RuntimeError("lost")
     (left,) = set(stage.iterdir()) - before
     assert spark.read.parquet(str(left)).count() == 1
+
+
+def test_a_filter_on_either_cluster_column_skips_most_files(spark, tmp_path):
+    """Interleaved ranks: the second column prunes like the first, by the statistics in the files alone."""
+    table = replace(FCT_PLAYBACK, ddl="event_id bigint, user_id string, content_id string", keys=("event_id",), partition=None)
+    rows = spark.range(64_000).select(
+        F.col("id").alias("event_id"), F.format_string("u%04d", F.pmod(F.xxhash64("id"), F.lit(900))).alias("user_id"),
+        F.when(F.col("id") % 500 == 0, None).otherwise(F.format_string("c%04d", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(800)))).alias("content_id"),
+    )
+    tables.clustered(rows, table, files=64).write.parquet(str(tmp_path / "t"))
+    spans = {"user_id": [], "content_id": []}
+    for f in (tmp_path / "t").glob("*.parquet"):
+        meta = pq.ParquetFile(f).metadata
+        for c, found in spans.items():
+            stats = [meta.row_group(g).column(meta.schema.names.index(c)).statistics for g in range(meta.num_row_groups)]
+            found.append((min(s.min for s in stats), max(s.max for s in stats)))
+    assert sum(pq.ParquetFile(f).metadata.num_rows for f in (tmp_path / "t").glob("*.parquet")) == 64_000
+    for c, value in (("user_id", "u0450"), ("content_id", "c0400")):
+        met = sum(a <= value <= b for a, b in spans[c])
+        assert 1 <= met <= len(spans[c]) // 3, (c, met, len(spans[c]))
+
+
+def test_layout_of_an_empty_table_and_of_nulls(spark):
+    table = replace(FCT_PLAYBACK, ddl="event_id bigint, user_id string, content_id string", keys=("event_id",), partition=None)
+    none = spark.createDataFrame([], table.schema)
+    bare = spark.createDataFrame([(1, None, None), (2, None, None)], table.schema)
+    assert tables.clustered(none, table).count() == 0 and tables.clustered(bare, table).count() == 2

@@ -404,6 +404,7 @@ FROM days GROUP BY 1, 2""",
 
 
 QUERIES["report_csv"] = QUERIES["segment_velocity"]
+QUERIES["interleaved_layout"] = QUERIES["vod_cap"]
 QUERIES["nightly_late_data"] = QUERIES["weekly_mart"]
 for _plan in ("watch_time", "scd2_history", "asof_plan_event", "device_link"):
     QUERIES[f"{_plan}_hot"] = QUERIES[_plan]

@@ -13,7 +13,7 @@ from viewpulse.functions.keys import row_hash, surrogate_key
 from viewpulse.operators import asof, dedup, dims, quality, reports, scd2, score, sessions, skew, upsert, user_day, watch, weekly
 from viewpulse.plans import nightly
 from viewpulse.schemas import (
-    FCT_DAILY, FCT_SESSIONS, LIVE_EVENTS, MART_PLAN_PLATFORM, MART_WEEKLY, PLANS, RAW_CONTENT, RAW_EVENTS, RAW_SESSIONS, RAW_USERS, STG_EVENTS,
+    FCT_DAILY, FCT_PLAYBACK, FCT_SESSIONS, LIVE_EVENTS, MART_PLAN_PLATFORM, MART_WEEKLY, PLANS, RAW_CONTENT, RAW_EVENTS, RAW_SESSIONS, RAW_USERS, STG_EVENTS,
 )
 from viewpulse.sources import derived, files, tables
 from viewpulse.streaming import live, log, sketches
@@ -483,6 +483,14 @@ def q_clustered_layout(spark, sf):
     return files.scan(spark, root, FCT_SESSIONS)
 
 
+def q_interleaved_layout(spark, sf):
+    """Playback facts rewritten by date and the interleaved ranks of user and title; the rows stay the same."""
+    root = tables.scratch(spark)
+    tables.overwrite(facts(spark, sf), root, FCT_PLAYBACK)
+    tables.optimize(spark, root, FCT_PLAYBACK)
+    return files.scan(spark, root, FCT_PLAYBACK)
+
+
 # Nights
 
 

@@ -15,7 +15,7 @@ from collections.abc import Iterable, Iterator
 from contextlib import contextmanager, nullcontext
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewpulse.functions.dates import DateLike, back
@@ -24,6 +24,8 @@ from viewpulse.schemas import ALL_TABLES, Table
 from viewpulse.sources.files import scan
 
 
+#: Bits of a cluster column's rank, and rows its quantiles are taken from.
+RANK_BITS, SAMPLE_ROWS = 6, 20_000
 LOCAL_MASTER = r"local(\[.*\])?"
 _own: dict[str, str] = {}
 _settled: dict[str, list[str]] = {}
@@ -99,15 +101,42 @@ def by_partition(df: DataFrame, table: Table) -> DataFrame:
     return df.hint("rebalance", F.col(table.partition)) if table.partition else df
 
 
+def _bounds(df: DataFrame, column: str) -> list:
+    """Values that cut the column into 2^`RANK_BITS` ranges of about equal rows, from a sample of `SAMPLE_ROWS` rows: those of
+    the smallest hashes, so the same rows give the same sample."""
+    drawn = df.filter(F.col(column).isNotNull()).select(F.col(column), F.xxhash64(*df.columns).alias("_h"))
+    values = sorted(r[0] for r in drawn.orderBy("_h").limit(SAMPLE_ROWS).collect())
+    cuts = {values[i * len(values) >> RANK_BITS] for i in range(1, 1 << RANK_BITS)} if values else set()
+    return sorted(cuts)
+
+
+def _rank(value: Column, cuts: list) -> Column:
+    """How many of the cuts are at or below the value; 0 for null."""
+    return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda cut: cut <= value)) if cuts else F.lit(0)
+
+
+def _interleaved(ranks: list[Column]) -> Column:
+    """The bits of the ranks in turn, highest first: near in all of them is near in this."""
+    n = len(ranks)
+    bits = [F.shiftleft(F.shiftright(r, i).bitwiseAND(F.lit(1)).cast("bigint"), i * n + n - 1 - j) for i in range(RANK_BITS) for j, r in enumerate(ranks)]
+    return reduce(lambda a, b: a + b, bits)
+
+
 def clustered(df: DataFrame, table: Table, files: int | None = None) -> DataFrame:
-    """Range layout by date and cluster columns: min/max statistics let readers skip files and row groups.
+    """Layout by date and cluster columns: min/max statistics let readers skip files and row groups.
 
-    The hash at the end lets a range boundary fall inside one hot user, who would otherwise be a single task and file.
+    With several cluster columns, the bits of their quantile ranks are interleaved, so that a filter on any one of them
+    prunes, not only on the first. The hash at the end lets a range boundary fall inside one hot user, who would otherwise be a
+    single task and file.
     """
-    cols = [c for c in (table.partition, *table.cluster) if c]
-    ranges = [*cols, F.xxhash64(*table.keys)]
+    cols = list(table.cluster)
+    order = [F.col(c) for c in cols]
+    if len(cols) > 1:
+        order = [_interleaved([_rank(F.col(c), _bounds(df, c)) for c in cols]), *order]
+    order = [*([F.col(table.partition)] if table.partition else []), *order]
+    ranges = [*order, F.xxhash64(*table.keys)]
     ranged = df.repartitionByRange(files, *ranges) if files else df.repartitionByRange(*ranges)
-    return ranged.sortWithinPartitions(*cols)
+    return ranged.sortWithinPartitions(*order)
 
 
 def _write(df: DataFrame, root: str, table: Table, mode: str) -> None:
