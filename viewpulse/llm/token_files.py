@@ -6,7 +6,7 @@ and tokenized where they end up. The writer gets row groups and pages of a set s
 filters on it fetches the pages of the wanted documents only, and one that selects metadata never touches the ids.
 
 Positions in the whole sequence need no pass over all rows: each task counts its ids as it writes, and the totals of the
-tasks, one number for each file, are added up afterwards.
+tasks, one number for each file, are added up and stored beside the files.
 """
 
 from __future__ import annotations
@@ -24,6 +24,12 @@ from pyspark.sql import functions as F
 
 from viewpulse.llm.segments import library_encoder
 from viewpulse.llm.shipping import in_arrow
+from viewpulse.llm.sizing import ranges
+
+
+#: Bytes of the documents table for a range, and the folder beside the files (which readers of these skip) with their totals.
+RANGE_BYTES = 256 << 20
+TOTALS = "_totals"
 
 
 @dataclass(frozen=True)
@@ -81,21 +87,23 @@ def write_tokens(documents: DataFrame, target: str, path: str, end_id: int, file
 
     Rows without `doc_id` come first; rows of one id stand together, ordered by a hash of their text. A null or empty text
     has only the end id. Repeated rows are all written. Other columns are left out. An empty table gives an empty `target`.
-    `files` is the number of ranges; by default Spark's.
+    `files` is the number of ranges; by default Spark's, or more where the table is larger than `RANGE_BYTES` for each.
     """
     spark = documents.sparkSession
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     order = [F.col("doc_id"), F.xxhash64(F.coalesce("text", F.lit("")))]
-    n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = files or ranges(documents, RANGE_BYTES)
     ranged = rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
     schema = "doc_id long, part int, start_in_part long, n_tokens long, ids array<int>"
     in_arrow(ranged, _encode(path, end_id), schema).write.options(**layout.options()).parquet(target)
+    # A row for each range; readers of a few documents need not add up all of them.
+    spark.read.parquet(target).groupBy("part").agg(F.sum("n_tokens").alias("n")).write.parquet(f"{target}/{TOTALS}")
 
 
 def read_tokens(spark: SparkSession, target: str, first: int | None = None, last: int | None = None, ids: bool = True) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens and, if wanted, ids, of the documents in a range of ids."""
     rows = spark.read.parquet(target)
-    totals = rows.groupBy("part").agg(F.sum("n_tokens").alias("n"))
+    totals = spark.read.parquet(f"{target}/{TOTALS}")
     # One row for each file, so a window over all of them is small.
     before = F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     bases = totals.select("part", before.alias("base"))
