@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from viewpulse.operators import dedup
 from viewpulse.schemas import ALL_TABLES, DIM_USER, FCT_PLAYBACK, FCT_SESSIONS, RAW_EVENTS, STG_EVENTS, Table
-from viewpulse.sources import files, tables
+from viewpulse.sources import derived, files, tables
 
 EVENT = (
     "event_id string, user_id string, device_id string, session_id string, content_id string, event_type string, "
@@ -210,3 +210,13 @@ def test_bounds_come_from_the_smallest_hashes_of_large_tables(spark):
     drawn = rows.select("a", F.xxhash64("k", "a").alias("h")).orderBy("h").limit(tables.SAMPLE_ROWS)
     values = sorted(r[0] for r in drawn.collect())
     assert tables._bounds(rows, ["a"], ["k"]) == [sorted({values[i * len(values) >> 6] for i in range(1, 64)})]
+
+
+def test_lines_of_a_task_are_bounded_where_events_are_derived(spark, tmp_path, monkeypatch):
+    """The join was cut by the bytes of its narrow inputs, so a task widened and sorted ever more rows of a larger table."""
+    spark.range(4000).selectExpr("nullif(id div 4, 7) AS l_orderkey", "id % 4 AS l_linenumber", "id % 90 AS l_partkey", "1.0D AS l_quantity").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(1000).selectExpr("id AS o_orderkey", "id % 60 AS o_custkey").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(90).selectExpr("id AS p_partkey").write.parquet(f"{tmp_path}/part.parquet")
+    monkeypatch.setattr(derived, "TASK_LINES", 100)
+    sizes = [r["count"] for r in derived.playback_events(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 3996 and max(sizes) <= 300
