@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from viewpulse.operators import dedup, sessions
+from viewpulse.plans import queries
 from viewpulse.schemas import LIVE_EVENTS
 from viewpulse.sources import derived, files, tables
 from viewpulse.streaming import live, log, sketches
@@ -183,3 +184,16 @@ def test_sketches_unite_without_the_events(spark):
     assert set(about) == {("hour", "2024-01-01 00:00:00"), ("hour", "2024-01-01 01:00:00"), ("day", "2024-01-01 00:00:00"), ("week", "2024-01-01 00:00:00")}
     for r in sketches.exact_viewers(views).collect():
         assert abs(about[r.unit, str(r.start)] - r.viewers) <= sketches.ERROR * r.viewers
+
+
+def test_the_feed_lands_compressed_lines_and_loses_none(spark, tmp_path):
+    """Plain JSON lines were most of what a stream's query wrote."""
+    spark.range(400).selectExpr("id div 4 AS l_orderkey", "id % 4 AS l_linenumber", "id % 90 AS l_partkey", "1.0D AS l_quantity").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(100).selectExpr("id AS o_orderkey", "id % 60 AS o_custkey").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(90).selectExpr("id AS p_partkey").write.parquet(f"{tmp_path}/part.parquet")
+    feed = queries.Feed(spark, str(tmp_path))
+    feed.run()
+    feed.close()
+    landed = [p.name for p in Path(feed.path).glob("part-*")]
+    assert landed and all(n.endswith(".json.gz") for n in landed)
+    assert spark.read.json(feed.path).count() == 401
