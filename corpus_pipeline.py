@@ -31,8 +31,10 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id."""
-    return simhash.drop_near_duplicates(docs)
+    """One document of each group of near-duplicates: the one with the smallest id.
+
+    Groups are the components of SimHash fingerprints at most two bits apart, joined where texts are similar beyond that."""
+    return simhash.drop_near_duplicates(docs, linked=simhash.near_duplicates(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -133,6 +133,19 @@ def test_similar_documents_against_all_pairs(spark):
         assert all(want[got[i]] == want[i] for i in want)
 
 
+def test_near_dedup_of_the_pipeline_holds_the_links_of_fingerprints(spark):
+    """A phrase said thirty times makes the fingerprint, whatever follows; by their sets of shingles such texts are unlike."""
+    phrase = " ".join(f"w{k}" for k in range(13))
+    said = " ".join([phrase] * 30)
+    tail, far = " ".join(f"x{k}" for k in range(16)), " ".join(f"y{k}" for k in range(16))
+    whole = " ".join(f"v{k}" for k in range(300))
+    texts = {1: said, 2: f"{said} {tail}", 3: f"{said} {far}", 4: whole, 5: f"{whole} z", 6: f"{whole} z", 7: " ".join(f"u{k}" for k in range(50))}
+    docs = spark.createDataFrame([*texts.items(), (None, said), (None, f"{said} {tail}")], "doc_id bigint, text string")
+    bits = [simhash.fingerprint(texts[i].encode()) for i in (1, 2, 3)]
+    assert all(((bits[0] ^ b) & (2**64 - 1)).bit_count() <= 2 for b in bits) and brute.similar(list(texts.items()))[2] == 2
+    assert sorted(r.doc_id for r in corpus_pipeline.near_deduplication(spark, docs, SF).collect()) == [1, 4, 7]
+
+
 def test_similar_pairs_in_a_crowd_of_template_pages(spark, monkeypatch):
     """Pages alike by 0.6 to 0.7 crowd the blocks; pairs of 0.86 among them are found nevertheless, in one chunk or many."""
     r = random.Random(21)

@@ -383,15 +383,27 @@ def crowd_links(crowded: DataFrame, roots: DataFrame, wide: DataFrame, grams_of,
     return in_arrow(_chunked(left, settle(sizes)), _joined(max_bits, similarity), "a long, b long")
 
 
+def _tied(linked: DataFrame, marked: DataFrame) -> DataFrame:
+    """Links (a, b) from the node of each text to that of the text which stands for its component in `linked`."""
+    node_of = marked.select("text_hash", "node").distinct()
+    to = linked.select("text_hash", F.col("keeper.text_hash").alias("_keeper")).filter(F.col("text_hash") != F.col("_keeper")).distinct()
+    met = to.join(node_of.toDF("text_hash", "a"), "text_hash").join(node_of.toDF("_keeper", "b"), "_keeper")
+    return met.filter("a <> b").select("a", "b").distinct()
+
+
 def similar_documents(
-    documents: DataFrame, words_per_shingle: int = SIMILAR_SHINGLE, similarity: float = SIMILARITY, recall: float = RECALL, pair_rows: int = SIMILAR_PAIR_ROWS
-) -> DataFrame:
+    documents: DataFrame, words_per_shingle: int = SIMILAR_SHINGLE, similarity: float = SIMILARITY, recall: float = RECALL, pair_rows: int = SIMILAR_PAIR_ROWS,
+    linked: DataFrame | None = None,
+) -> DataFrame:
     """doc_id, text_hash, keeper, one row per document: near-duplicates by the Jaccard similarity of their word shingles.
 
     Two bits apart are only the closest copies: at a similarity of 0.8 a seventh of all bits differ. So fingerprints are
     wide, blocks are choices of their bits, pairs that share a block are verified by Hamming distance and then by the exact
     similarity of the two texts. All pairs of a block are, unless links have joined the two by then. Awkward rows are treated as in `near_duplicates`; texts without words are copies of each
     other.
+
+    `linked` is what `near_duplicates` gives for the same documents: its components hold, whatever the similarity inside them,
+    and the links found here join them.
     """
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), F.col("text"))
     marked = settle(in_arrow(rows, _wide(words_per_shingle), "doc_id long, text_hash long, wide binary").withColumn("node", F.xxhash64("wide")))
@@ -414,6 +426,8 @@ def similar_documents(
     grams = settle(grams_of(near.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
     checked = near.join(grams.toDF("a", "grams_a"), "a").join(grams.toDF("b", "grams_b"), "b")
     links = settle(in_arrow(checked, _similar(similarity), "a long, b long"))
+    if linked is not None:
+        links = settle(links.unionByName(_tied(linked, marked)))
     found = components(links)
     more = crowd_links(crowded, found, wide, grams_of, max_bits, similarity)
     if more is not None:
@@ -425,7 +439,8 @@ def similar_documents(
 
 
 def drop_near_duplicates(documents: DataFrame, **options) -> DataFrame:
-    """The rows of `documents` that stand for their group of similar documents; of repeated rows one stays."""
+    """The rows of `documents` that stand for their group of similar documents; of repeated rows one stays. Options are those
+    of `similar_documents`."""
     stay = similar_documents(documents, **options).filter(F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")) & (F.col("text_hash") == F.col("keeper.text_hash")))
     stay = stay.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     row = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_d"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_text"))
