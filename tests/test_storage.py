@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import replace
 from pathlib import Path
 
@@ -10,7 +11,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from viewpulse.operators import dedup
+from viewpulse.operators import dedup, watch
 from viewpulse.schemas import ALL_TABLES, DIM_USER, FCT_PLAYBACK, FCT_SESSIONS, RAW_EVENTS, STG_EVENTS, Table
 from viewpulse.sources import derived, files, tables
 
@@ -220,3 +221,25 @@ def test_lines_of_a_task_are_bounded_where_events_are_derived(spark, tmp_path, m
     monkeypatch.setattr(derived, "TASK_LINES", 100)
     sizes = [r["count"] for r in derived.playback_events(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()]
     assert sum(sizes) == 3996 and max(sizes) <= 300
+
+
+def test_shuffles_of_events_follow_the_lines(spark, tmp_path, monkeypatch):
+    """Their number was Spark's setting whatever the table's size, so a task sorted ever more events of a larger table."""
+    spark.range(4000).selectExpr("id div 4 AS l_orderkey", "id % 4 AS l_linenumber", "id % 90 AS l_partkey", "1.0D AS l_quantity").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(1000).selectExpr("id AS o_orderkey", "id % 60 AS o_custkey").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(90).selectExpr("id AS p_partkey").write.parquet(f"{tmp_path}/part.parquet")
+    before = {name: spark.conf.get(name, None) for name in (derived.INITIAL, derived.JOINED)}
+    monkeypatch.setattr(derived, "TASK_LINES", 50)
+    try:
+        staged = dedup.dedup_events(derived.playback_events(spark, str(tmp_path)), "2024-02-12 02:00:00")
+        linked = watch.watch_time(staged)
+        text = linked._jdf.queryExecution().executedPlan().toString()
+        for key in ("event_id", "event_date"):
+            assert int(re.search(rf"Exchange hashpartitioning\({key}#.*?, (\d+)\), ENSURE", text)[1]) >= 80
+        assert linked.count() == 4000
+        monkeypatch.setattr(derived, "TASK_LINES", 4000)
+        derived.playback_events(spark, str(tmp_path))
+        assert int(spark.conf.get(derived.INITIAL)) >= 80
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
