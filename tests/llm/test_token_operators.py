@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import random
+import subprocess
+import sys
 import zlib
 from itertools import pairwise
+from pathlib import Path
 
 import brute
 import numpy as np
@@ -253,3 +256,28 @@ def test_token_files_of_awkward_rows(spark, tmp_path):
     assert max(r.start for r in rows if r.doc_id is None) < min(r.start for r in rows if r.doc_id is not None)
     token_files.write_tokens(brute.empty_documents(spark), str(tmp_path / "none"), WORD, end_id=2)
     assert token_files.checksums(token_files.read_tokens(spark, str(tmp_path / "none"))).count() == 0
+
+
+def test_a_worker_hands_freed_memory_back():
+    """Freed below something that stays, it was kept by the worker for as long as that lived."""
+    code = """
+import numpy as np
+from viewpulse.llm import shipping
+
+def held():
+    return int(open("/proc/self/statm").read().split()[1]) * 4096 / 1e6
+
+stays = []
+
+def work(batches):
+    made = [np.ones(100_000, np.uint8) for _ in range(2000)]
+    stays.append(np.ones(100_000, np.uint8))
+    yield from batches
+
+before = held()
+list(getattr(shipping, "tidied", lambda f: f)(work)(iter([1])))
+print(held() - before)
+"""
+    root = Path(packing.__file__).resolve().parents[2]
+    run = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True)
+    assert float(run.stdout) < 50
