@@ -258,6 +258,29 @@ def test_token_files_of_awkward_rows(spark, tmp_path):
     assert token_files.checksums(token_files.read_tokens(spark, str(tmp_path / "none"))).count() == 0
 
 
+def test_an_index_soon_lets_go_of_used_documents():
+    """It held them until they were half, and each window's ranking went over them."""
+    docs = [np.array([0, 1 + i], np.uint16) for i in range(40)]
+    corpus = packing.Corpus(np.full(41, 1.0), 2.0)
+    index = packing.Index(corpus, docs, [np.ones(2, np.uint32)] * 40, [2] * 40)
+    index.unused[:12] = False
+    index.shrink()
+    assert index.held.tolist() == list(range(12, 40))
+    assert sorted(index.neighbours(docs[0])) == list(range(12, 40))
+
+
+@pytest.mark.parametrize("n", [1, 5, 70_000])
+def test_terms_of_many_documents_at_once(n):
+    """Documents beyond 16 bits too; the largest id is 65,535."""
+    r = np.random.default_rng(n)
+    bounds = np.concatenate([[0], np.cumsum(r.integers(1, 5, n))])
+    ids = np.where(r.random(bounds[-1]) < 0.5, 65_535, r.integers(0, 3, bounds[-1])).astype(np.uint32)
+    terms, counts = packing._terms(ids, bounds)
+    for i in {*range(0, n, 997), n - 1}:
+        t, c = np.unique(ids[bounds[i] : bounds[i + 1]], return_counts=True)
+        assert np.frombuffer(terms[i].as_py(), "<u2").tolist() == t.tolist() and np.frombuffer(counts[i].as_py(), "<u4").tolist() == c.tolist()
+
+
 def test_a_worker_hands_freed_memory_back():
     """Freed below something that stays, it was kept by the worker for as long as that lived."""
     code = """

@@ -13,6 +13,7 @@ Tokenizing happens once; its result (tails, terms and checksums, no texts) is wr
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -49,6 +50,17 @@ def crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4", copy=False).tobytes())
 
 
+def _terms(ids: np.ndarray, bounds: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Distinct ids of each document, ascending, and how often each is there; documents lie between each two `bounds`."""
+    n = len(bounds) - 1
+    kind = np.uint32 if n <= 1 << 16 else np.uint64
+    keys = np.sort(np.repeat(np.arange(n, dtype=kind) << kind(16), np.diff(bounds)) | ids.astype(kind, copy=False))
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    begins = np.searchsorted(first, bounds)
+    terms, counts = (keys[first] & kind(0xFFFF)).astype("<u2"), np.diff(np.append(first, len(keys))).astype("<u4")
+    return tuple(pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((begins * v.itemsize).astype(np.int32)), pa.py_buffer(v)]) for v in (terms, counts))
+
+
 def _tokenize(path: str, window: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = library_encoder(path)
@@ -57,17 +69,16 @@ def _tokenize(path: str, window: int, end_id: int):
             for ids, bounds in encoder.encode(batch.column("text").cast(pa.binary()).to_pylist()):
                 n = len(bounds) - 1
                 ended = np.insert(ids, bounds[1:], end_id)
-                ends = (bounds + np.arange(n + 1)).tolist()
+                bounds = bounds + np.arange(n + 1)
+                terms, counts = _terms(ended, bounds)
                 rows: list[tuple] = []
-                for a, b in zip(ends, ends[1:], strict=False):
-                    own = ended[a:b]
-                    whole = len(own) // window * window
-                    terms, counts = np.unique(own, return_counts=True)
-                    sums = [crc(own[k : k + window]) for k in range(0, whole, window)]
-                    rows.append((len(own), sums, own[whole:].astype("<u2").tobytes(), terms.astype("<u2").tobytes(), counts.astype("<u4").tobytes()))
-                sizes, sums, tails, terms, counts = zip(*rows, strict=True)
+                for a, b in itertools.pairwise(bounds.tolist()):
+                    whole = (b - a) // window * window
+                    sums = [crc(ended[k : k + window]) for k in range(a, a + whole, window)]
+                    rows.append((b - a, sums, ended[a + whole : b].astype("<u2").tobytes()))
+                sizes, sums, tails = zip(*rows, strict=True)
                 columns = [batch.column("doc_id").slice(at, n), pa.array(sizes, pa.int64()), pa.array(sums, pa.list_(pa.int64()))]
-                columns += [pa.array(c, pa.binary()) for c in (tails, terms, counts)]
+                columns += [pa.array(tails, pa.binary()), terms, counts]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "doc_tokens", "sums", "tail", "terms", "counts"])
                 at += n
 
@@ -164,6 +175,7 @@ class Index:
     def _hold(self, held: np.ndarray, docs: np.ndarray, w: np.ndarray, bounds: np.ndarray) -> None:
         """`held`: the documents' places in the shard; postings of `docs` (places in `held`) between each two `bounds`."""
         self.held, self.docs, self.w, self.bounds = held, docs, w, bounds
+        self.cuts = bounds.tolist()
         frequent = np.flatnonzero(np.diff(bounds) * FREQUENT > len(held))
         self.row = np.full(len(self.vocabulary), -1)
         self.row[frequent] = np.arange(len(frequent))
@@ -173,9 +185,9 @@ class Index:
             self.rows[r, docs[a:b]] = w[a:b]
 
     def shrink(self) -> None:
-        """Drop used documents once they are half of those held."""
+        """Drop used documents once they are a fifth of those held."""
         keep = self.unused[self.held]
-        if int(keep.sum()) * 2 > len(self.held):
+        if int(keep.sum()) * 5 > len(self.held) * 4:
             return
         numbers = np.cumsum(keep) - 1
         stay = keep[self.docs]
@@ -185,9 +197,9 @@ class Index:
     def _sum(self, at: np.ndarray) -> np.ndarray:
         """Weights of the terms at these places of the vocabulary, for each document held."""
         rows = self.row[at]
-        spans = [(self.bounds[i], self.bounds[i + 1]) for i in at[rows < 0].tolist()]
+        spans = [slice(self.cuts[i], self.cuts[i + 1]) for i in at[rows < 0].tolist()]
         if spans:
-            docs, w = (np.concatenate([x[a:b] for a, b in spans]) for x in (self.docs, self.w))
+            docs, w = (np.concatenate([x[s] for s in spans]) for x in (self.docs, self.w))
             total = np.bincount(docs, w, len(self.held)).astype(np.float64, copy=False)
         else:
             total = np.zeros(len(self.held))
