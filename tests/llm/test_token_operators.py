@@ -304,3 +304,18 @@ print(held() - before)
     root = Path(packing.__file__).resolve().parents[2]
     run = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True)
     assert float(run.stdout) < 50
+
+
+def test_new_ascii_words_go_straight_to_the_model(monkeypatch):
+    """Each new word was stripped, matched and spelled first."""
+    words = [b"plain", b" plain", b" Ingrandou", b"x", b" x", b"hahehe" * 7]
+    encoder = segments.LibraryEncoder(BYTE)
+    monkeypatch.setattr(segments, "PLAIN_LETTERS", None)
+    monkeypatch.setattr(segments, "spelled", None)
+    found = [np.frombuffer(v, np.uint32).tolist() for v in encoder.memo.all(words)]
+    assert found == [encoder.tokenizer.encode(w.decode(), add_special_tokens=False).ids for w in words]
+    assert encoder.memo.all(words) == [encoder.memo.known[w] if len(w) <= segments.SHORT else encoder._ids(w) for w in words]
+    # A wide space behind a space is no certain cut, another character beyond ASCII is.
+    text = "a \u3000b \u00e9c \u20acd  e".encode()
+    cuts = np.flatnonzero(segments.byte_cuts(np.frombuffer(text, np.uint8), np.array([len(text)]))).tolist()
+    assert [text[i : i + 3] for i in cuts] == [" \u00e9".encode(), b" e"]

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from viewpulse.llm.segments import PLAIN_LETTERS, Memo, gather, packed, segment, slices, spelled, word_cuts
+from viewpulse.llm.segments import PLAIN_LETTERS, REMEMBERED, Memo, gather, packed, segment, slices, spelled, word_cuts
 from viewpulse.llm.shipping import in_arrow
 
 
@@ -85,7 +85,7 @@ class Coder:
         self.merger = Merger(path)
         self.specials = [s.encode() for s in self.merger.specials]
         self.between = re.compile("(" + "|".join(map(re.escape, self.merger.specials)) + ")")
-        self.memo = Memo(self._piece)
+        self.memo = Memo(self._piece, REMEMBERED // 2)  # two values a segment
 
     def ids(self, text: str) -> list[int]:
         """Ids of any text: special tokens apart, then normalised, split into words and merged."""

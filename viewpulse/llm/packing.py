@@ -180,9 +180,9 @@ class Index:
         self.row = np.full(len(self.vocabulary), -1)
         self.row[frequent] = np.arange(len(frequent))
         # At most `FREQUENT` times as many cells as there are postings.
-        self.rows = np.zeros((len(frequent), len(held)))
+        self.rows = list(np.zeros((len(frequent), len(held))))
         for r, (a, b) in enumerate(zip(bounds[frequent].tolist(), bounds[frequent + 1].tolist(), strict=True)):
-            self.rows[r, docs[a:b]] = w[a:b]
+            self.rows[r][docs[a:b]] = w[a:b]
 
     def shrink(self) -> None:
         """Drop used documents once they are a fifth of those held."""

@@ -21,23 +21,28 @@ import pyarrow as pa
 from tokenizers import Tokenizer
 
 SLICE_BYTES = 4 << 20
-REMEMBERED = 600_000
+REMEMBERED = 1_200_000
 SHORT = 48
 
-_SPACE, _LETTER, _DIGIT, _MARK, _OTHER = range(5)
+#: `_WIDE`: first bytes of the characters beyond ASCII that are white space; `_OTHER` and above: beyond ASCII.
+_SPACE, _LETTER, _DIGIT, _MARK, _OTHER, _WIDE = range(6)
 _CLASS = np.full(256, _MARK, np.uint8)
 _CLASS[128:] = _OTHER
+_CLASS[[0xC2, 0xE1, 0xE2, 0xE3]] = _WIDE
 _CLASS[[9, 10, 11, 12, 13, 32]] = _SPACE
 _CLASS[48:58] = _DIGIT
 _CLASS[65:91] = _CLASS[97:123] = _LETTER
-#: First bytes of the characters beyond ASCII that are white space.
-_WIDE_SPACE = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
+_CLASSES = _CLASS.tobytes()
+
+
+def _kinds(data: np.ndarray) -> np.ndarray:
+    return np.frombuffer(data.tobytes().translate(_CLASSES), np.uint8)
 
 
 def _class_cuts(data: np.ndarray, kinds: np.ndarray) -> np.ndarray:
     """Cuts between letters, digits and marks, all ASCII; none behind an apostrophe, which may start a contraction."""
     before, after = kinds[:-1], kinds[1:]
-    plain = (before != after) & (before != _SPACE) & (after != _SPACE) & (before != _OTHER) & (after != _OTHER)
+    plain = (before != after) & (before != _SPACE) & (after != _SPACE) & (before < _OTHER) & (after < _OTHER)
     cuts = np.zeros(len(data), bool)
     cuts[1:] = plain & (data[:-1] != ord("'"))
     return cuts
@@ -45,7 +50,7 @@ def _class_cuts(data: np.ndarray, kinds: np.ndarray) -> np.ndarray:
 
 def word_cuts(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """For tokenizers that drop white space: cuts before white space that follows something else."""
-    kinds = _CLASS[data]
+    kinds = _kinds(data)
     cuts = _class_cuts(data, kinds)
     cuts[1:] |= (kinds[1:] == _SPACE) & (kinds[:-1] != _SPACE)
     return cuts
@@ -56,11 +61,11 @@ def byte_cuts(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
     Certain cuts: before a space that something else than white space follows; around a single other white space character.
     """
-    kinds = _CLASS[data]
+    kinds = _kinds(data)
     cuts = _class_cuts(data, kinds)
-    solid = (kinds != _SPACE) & (kinds != _OTHER)
+    solid = (kinds != _SPACE) & (kinds < _OTHER)
     follows = np.zeros(len(data), bool)
-    follows[:-1] = solid[1:] | ((kinds[1:] == _OTHER) & ~_WIDE_SPACE[data[1:]])
+    follows[:-1] = solid[1:] | (kinds[1:] == _OTHER)
     follows[ends - 1] = False
     cuts |= (data == 32) & follows
     line = (kinds == _SPACE) & (data != 32)
@@ -155,22 +160,21 @@ def gather(found: list[bytes], pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Memo:
-    """Remembers what `find` gives for short segments."""
+    """Remembers what `find` gives for short segments: `most` of them, else `REMEMBERED`."""
 
-    def __init__(self, find: Callable[[bytes], object]):
-        self.find, self.known = find, {}
+    def __init__(self, find: Callable[[bytes], object], most: int | None = None):
+        self.find, self.known, self.most = find, {}, most
 
     def all(self, segments: list[bytes]) -> list:
+        """What `find` gives for segments that differ from each other."""
         known, find = self.known, self.find
-        out = []
-        for s in segments:
-            v = known.get(s)
-            if v is None:
-                v = find(s)
-                if len(s) <= SHORT:
-                    known[s] = v
-            out.append(v)
-        if len(known) > REMEMBERED:
+        out = list(map(known.get, segments))
+        for i in [i for i, v in enumerate(out) if v is None]:
+            s = segments[i]
+            out[i] = v = find(s)
+            if len(s) <= SHORT:
+                known[s] = v
+        if len(known) > (self.most or REMEMBERED):
             known.clear()
         return out
 
@@ -190,6 +194,11 @@ class LibraryEncoder:
         self.memo = Memo(self._ids)
 
     def _ids(self, piece: bytes) -> bytes:
+        if not self.drops_space:
+            # As below for letters of ASCII, most of what is new; one space at most stands before them.
+            spaced = piece[:1] == b" "
+            if (piece[1:] if spaced else piece).isalpha():
+                return packed([t.id for t in self.model.tokenize(f"Ġ{piece[1:].decode()}" if spaced else piece.decode())])
         text = piece.decode("utf-8", "replace")
         body = text.strip(" \t\n\x0b\x0c\r") if self.drops_space else text.removeprefix(" ")
         if PLAIN_LETTERS.fullmatch(body):
