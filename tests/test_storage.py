@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from viewpulse.operators import dedup, watch
+from viewpulse.plans import queries
 from viewpulse.schemas import ALL_TABLES, DIM_USER, FCT_PLAYBACK, FCT_SESSIONS, RAW_EVENTS, STG_EVENTS, Table
 from viewpulse.sources import derived, files, tables
 
@@ -243,3 +244,28 @@ def test_shuffles_of_events_follow_the_lines(spark, tmp_path, monkeypatch):
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+@pytest.fixture
+def tiny(spark, make, tmp_path):
+    """Given tables of a few rows: lines and titles that come twice, an order without lines."""
+    lines = [(o, n, p, float(q)) for o, n, p, q in [(3, 1, 7, 5), (3, 1, 8, 5), (3, 2, 9, 40), (5, 1, 40, 1), (5, 2, 3, 20), (5, 2, 3, 20), (12, 1, 6, 9)]]
+    make("l_orderkey bigint, l_linenumber int, l_partkey bigint, l_quantity double", lines).write.parquet(f"{tmp_path}/lineitem.parquet")
+    make("o_orderkey bigint, o_custkey bigint", [(3, 5), (5, 49), (9, 6), (12, 8)]).write.parquet(f"{tmp_path}/orders.parquet")
+    kinds = ["ECONOMY", "SMALL", "MEDIUM", "LARGE"]
+    parts = [(k, f"title {k}", f"Brand#{k % 5}", kinds[k % 4], k % 7) for k in [*range(1, 41), 1, 2, 13]]
+    make("p_partkey bigint, p_name string, p_brand string, p_type string, p_size int", parts).write.parquet(f"{tmp_path}/part.parquet")
+    return str(tmp_path)
+
+
+def test_raw_json_lands_compressed_and_whole(spark, tiny, tmp_path, monkeypatch):
+    root = f"{tmp_path}/lake"
+    monkeypatch.setattr(tables, "scratch", lambda _: root)
+    got = queries.q_raw_json_scan(spark, tiny)
+    landed = [p for p in Path(root).rglob("part-*")]
+    assert landed and all(p.name.endswith(".json.gz") for p in landed)
+    raw = derived.playback_events(spark, tiny).withColumn("event_date", F.to_date("event_ts"))
+    within = raw.filter(F.col("event_date").between(queries.LOOKBACK_DATE, queries.LAST_DAY))
+    every = files.read_events(spark, root)
+    assert every.count() == raw.count() and every.exceptAll(raw.select(*RAW_EVENTS.columns)).isEmpty()
+    assert got.count() == within.count() and got.exceptAll(within.select(*RAW_EVENTS.columns)).isEmpty()
