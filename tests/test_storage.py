@@ -269,3 +269,24 @@ def test_raw_json_lands_compressed_and_whole(spark, tiny, tmp_path, monkeypatch)
     every = files.read_events(spark, root)
     assert every.count() == raw.count() and every.exceptAll(raw.select(*RAW_EVENTS.columns)).isEmpty()
     assert got.count() == within.count() and got.exceptAll(within.select(*RAW_EVENTS.columns)).isEmpty()
+
+
+def test_stored_and_staging_tables_are_zstd(spark, staged, tmp_path):
+    root = str(tmp_path)
+    events = staged(("a", "2024-01-10 10:00:00", "2024-01-10 10:00:00"), ("b", "2024-01-11 10:00:00", "2024-01-11 10:00:00"))
+    tables.overwrite(events, root, STG_EVENTS)
+    tables.append(events, root, STG_EVENTS)
+    left = [tables.settle(events), tables.settle(events, "event_date")]
+    with tables.settled(events) as once:
+        paths = [*Path(root).rglob("*.parquet"), *(p.removeprefix("file:") for df in (*left, once) for p in df.inputFiles())]
+        assert {pq.ParquetFile(p).metadata.row_group(0).column(0).compression for p in paths} == {"ZSTD"}
+
+
+def test_layout_shuffles_no_hash(spark):
+    """The hash follows from a row: ranges are found from it without a column, which nothing compresses."""
+    rows = spark.range(5000).selectExpr("'u' || id % 50 AS u", "'c' || id % 70 AS c", "id AS k")
+    table = Table("x/y", "u string, c string, k bigint", keys=("k",), cluster=("u", "c"))
+    laid = tables.clustered(rows, table, files=4)
+    below = laid._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")[1].split("\n", 1)[1]
+    assert "xxhash64" not in below and "_hash" not in below
+    assert laid.columns == ["u", "c", "k"] and laid.exceptAll(rows).isEmpty() and laid.count() == 5000
