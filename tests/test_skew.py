@@ -223,3 +223,87 @@ def test_score_windows_run_on_value_counts(spark):
     text = plan(score.engagement_score(days, users, "2024-01-01"))
     for at in [m.start() for m in re.finditer(r"Window \[", text)]:
         assert "HashAggregate" in text[at : at + 3000]
+
+
+@pytest.fixture
+def unbroadcast(spark):
+    """Joins by shuffle, as those of a large catalogue."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.fixture
+def viewed(spark):
+    """Staged events with copies of a title in the catalogue, titles it lacks, and events without a title."""
+    ids = spark.range(400)
+    raw = ids.selectExpr(
+        "'e' || id % 390 AS event_id", "IF(id % 9 = 0, NULL, 'u' || id % 5) AS user_id", "'d' || id % 5 AS device_id", "'s' || id % 17 AS session_id",
+        "IF(id % 11 = 0, NULL, 'c' || id % 6) AS content_id", "IF(id % 4 = 0, 'pause', 'heartbeat') AS event_type",
+        "CAST('2024-01-10 23:00:00' AS TIMESTAMP_NTZ) + make_dt_interval(0, 0, 0, id * 20) AS event_ts",
+        "CAST('2024-01-10 23:00:00' AS TIMESTAMP_NTZ) + make_dt_interval(0, 0, 0, id * 20) AS server_ts",
+        "CAST(id AS INT) AS position_sec", "'ios' AS platform", "'PK' AS country_code",
+    )
+    content = spark.createDataFrame(
+        [("c0", "g0", "vod_movie", 40), ("c1", "g1", "vod_movie", 25), ("c1", "g1", "vod_movie", 90), ("c2", None, "live", 10), ("c3", "g1", "highlight", None)],
+        "content_id string, genre string, content_type string, duration_sec int",
+    )
+    return tables.settle(raw), content
+
+
+def test_dedup_shuffles_what_came_only(viewed):
+    text = plan(dedup.dedup_events(viewed[0], "2024-02-12 02:00:00"))
+    below = text[text.index("Window [") :]
+    assert "is_late_arrival" not in below and "event_date" not in below
+
+
+def test_facts_of_a_large_catalogue_are_shuffled_once_by_title(unbroadcast, viewed):
+    """The join of a large catalogue, the window and the fold by title behind it each shuffled the events."""
+    from viewpulse.operators import sessions
+
+    staged = tables.settle(dedup.dedup_events(viewed[0], "2024-02-12 02:00:00"))
+    folded = sessions.session_titles(watch.playback_facts(staged, viewed[1], spread=False))
+    text = plan(folded)
+    assert len(re.findall(r"Exchange hashpartitioning\(content_id", text)) == 2
+    assert "Exchange hashpartitioning(event_date" not in text and "Exchange hashpartitioning(session_id" not in text
+    # With hot titles the window spreads them over sessions and the join comes last.
+    assert "Exchange hashpartitioning(event_date" in plan(watch.playback_facts(staged, viewed[1]))
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_facts_are_the_same_in_either_order(spark, viewed, broadcast, request):
+    if not broadcast:
+        request.getfixturevalue("unbroadcast")
+    staged = tables.settle(dedup.dedup_events(viewed[0], "2024-02-12 02:00:00"))
+    late, early = (watch.playback_facts(staged, viewed[1], spread=s).collect() for s in (True, False))
+    assert sorted(map(repr, late)) == sorted(map(repr, early)) and len(late) > staged.count()
+    assert {r.watch_time_sec for r in late if r.content_id == "c1"} >= {25, 90}
+
+
+def test_folded_facts_give_the_same_sessions_and_days(viewed):
+    from viewpulse.operators import sessions, user_day
+
+    content = viewed[1]
+    facts = tables.settle(watch.playback_facts(dedup.dedup_events(viewed[0], "2024-02-12 02:00:00"), content))
+    titles = tables.settle(sessions.session_titles(facts))
+    whole, folded = sessions.session_facts(facts), sessions.session_facts(titles, is_folded=True)
+    counts = facts.groupBy("session_id", "user_id", "device_id", "platform", "event_date").agg(F.count_distinct("content_id"), F.count("event_id"), F.sum("watch_time_sec"))
+    got = whole.select("session_id", "user_id", "device_id", "platform", "session_date", "distinct_content_count", "event_count", "total_watch_time_sec")
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, map(tuple, counts.collect())))
+    assert sorted(map(repr, whole.collect())) == sorted(map(repr, folded.collect()))
+    days = [sorted(map(repr, user_day.user_day(s, f, content).collect())) for s, f in ((whole, facts), (folded, titles))]
+    assert days[0] == days[1]
+
+
+def test_breadth_does_not_repeat_its_rows(viewed):
+    """Two distinct counts in one pass repeated each row three times and shuffled all of them."""
+    from viewpulse.operators import user_day
+
+    events = dedup.type_events(viewed[0], "2024-02-12 02:00:00")
+    got = user_day.breadth(events, viewed[1])
+    assert "Expand" not in plan(got)
+    joined = user_day.titles(events).join(viewed[1], "content_id", "left")
+    counts = F.count("content_id"), F.count_distinct("genre"), F.count_distinct("content_type")
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, map(tuple, joined.groupBy(*user_day.DAY).agg(*counts).collect())))
+    assert [t for _, t in got.dtypes[2:]] == ["bigint"] * 3
