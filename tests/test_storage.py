@@ -290,3 +290,9 @@ def test_layout_shuffles_no_hash(spark):
     below = laid._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")[1].split("\n", 1)[1]
     assert "xxhash64" not in below and "_hash" not in below
     assert laid.columns == ["u", "c", "k"] and laid.exceptAll(rows).isEmpty() and laid.count() == 5000
+
+
+def test_titles_that_are_hot_change_the_plan_and_no_row(spark, tiny):
+    assert queries.hot_titles(spark, tiny, 0) and not queries.hot_titles(spark, tiny)
+    hot, plain = (sorted(map(repr, queries.stored_titles(spark, tiny, n).collect())) for n in (0, 1_000_000))
+    assert hot == plain and len(hot) > 0
